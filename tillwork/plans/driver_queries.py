@@ -369,3 +369,268 @@ def q_reverse_deduct(spark, sf_dir):
     lg = order_log(spark, sf_dir).select("event_id", "ts", "bill", "item", "qty", "day")
     res = deduct.reverse_deduct(lg, "qty", ["bill", "item"], order=LOG_ORDER, bucket="day")
     return res.select("event_id", "bill", "item", "qty")
+
+
+# Merge / split chains ----------------------------------------------------------------
+# Links between bills derived from events: users 3→5→7→3 form a cycle, 9 links
+# to itself, 11 points at a bill outside the data, every other user u points
+# at u div 2 (so chains run down to 0, which links to itself); an event whose
+# id is divisible by 4 carries no target, and the *last* event of a user
+# (by ts, event_id) decides its link, even when it carries none.
+def _link_events(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    u = F.col("user_id")
+    target = (F.when(F.col("event_id") % 4 == 0, F.lit(None).cast("string"))
+              .when(u == 3, F.lit("U5")).when(u == 5, F.lit("U7")).when(u == 7, F.lit("U3"))
+              .when(u == 9, F.lit("U9")).when(u == 11, F.lit("U999999"))
+              .otherwise(F.concat(F.lit("U"), F.floor(u / 2).cast("string"))))
+    return ev.select("event_id", "ts", F.concat(F.lit("U"), u.cast("string")).alias("bill_id"),
+                     F.concat(F.lit("N"), u.cast("string"), F.lit("-"), (F.col("event_id") % 3).cast("string")).alias("bill_no"),
+                     target.alias("target"))
+
+
+LINK_SQL = """
+e AS (
+  SELECT event_id, ts, 'U' || CAST(user_id AS VARCHAR) AS bill_id,
+         'N' || CAST(user_id AS VARCHAR) || '-' || CAST(event_id % 3 AS VARCHAR) AS bill_no,
+         CASE WHEN event_id % 4 = 0 THEN NULL
+              WHEN user_id = 3 THEN 'U5' WHEN user_id = 5 THEN 'U7' WHEN user_id = 7 THEN 'U3'
+              WHEN user_id = 9 THEN 'U9' WHEN user_id = 11 THEN 'U999999'
+              ELSE 'U' || CAST(user_id // 2 AS VARCHAR) END AS target
+  FROM events),
+m AS (SELECT bill_id AS src, target AS dst FROM e
+      QUALIFY row_number() OVER (PARTITION BY bill_id ORDER BY ts DESC, event_id DESC) = 1)"""
+
+_WALK_STOP = "(m.src IS NULL OR m.dst IS NULL OR m.dst = w.cur OR list_contains(w.visited, m.dst))"
+_WALK_REENTER = "(m.src IS NULL OR list_contains(w.visited, w.cur) OR m.dst IS NULL OR m.dst = w.cur)"
+
+
+def _walk_sql(edges: str, stop: str) -> str:
+    return f"""
+WITH RECURSIVE {LINK_SQL.strip()},
+{edges},
+walk(start, cur, visited, done) AS (
+  SELECT DISTINCT bill_id, bill_id, CAST([] AS VARCHAR[]), false FROM e
+  UNION ALL
+  SELECT w.start,
+         CASE WHEN {stop} THEN w.cur ELSE m.dst END,
+         CASE WHEN {stop} THEN w.visited ELSE list_append(w.visited, w.cur) END,
+         {stop}
+  FROM walk w LEFT JOIN lk m ON m.src = w.cur
+  WHERE NOT w.done)"""
+
+
+@register("resolve_final", _walk_sql("lk AS (SELECT * FROM m)", _WALK_STOP) + """
+SELECT start AS id, cur AS final FROM walk WHERE done
+""")
+def q_resolve_final(spark, sf_dir):
+    from tillwork.operators.links import resolve_links
+    e = _link_events(spark, sf_dir)
+    edges = keys.last_value_map(e, "bill_id", "target", order=LOG_ORDER, out_key="src", out_value="dst")
+    return resolve_links(e.select(F.col("bill_id").alias("id")), edges, cycle="stop")
+
+
+@register("resolve_root", _walk_sql("lk AS (SELECT src, dst FROM e2 QUALIFY row_number() OVER (PARTITION BY src ORDER BY ts DESC, event_id DESC) = 1),\n"
+                                    "e2x AS (SELECT 1)", _WALK_REENTER).replace(
+    "lk AS (SELECT src", "e2 AS (SELECT bill_id AS src, target AS dst, ts, event_id FROM e WHERE target IS NOT NULL),\nlk AS (SELECT src") + """
+SELECT start AS id, cur AS final FROM walk WHERE done
+""")
+def q_resolve_root(spark, sf_dir):
+    from tillwork.operators.links import resolve_links
+    e = _link_events(spark, sf_dir)
+    edges = keys.last_value_map(e.filter(F.col("target").isNotNull()), "bill_id", "target", order=LOG_ORDER,
+                                out_key="src", out_value="dst")
+    return resolve_links(e.select(F.col("bill_id").alias("id")), edges, cycle="reenter")
+
+
+@register("rewrite_ids", _walk_sql("lk AS (SELECT * FROM m)", _WALK_STOP) + """,
+fin AS (SELECT start AS id, cur AS final FROM walk WHERE done),
+nos AS (SELECT bill_id, bill_no FROM e QUALIFY row_number() OVER (PARTITION BY bill_id ORDER BY ts, event_id) = 1)
+SELECT e.event_id, fin.final AS bill_id, nos.bill_no AS bill_no
+FROM e JOIN fin ON e.bill_id = fin.id LEFT JOIN nos ON nos.bill_id = fin.final
+""")
+def q_rewrite_ids(spark, sf_dir):
+    from tillwork.operators.links import resolve_links, rewrite_ids
+    e = _link_events(spark, sf_dir)
+    edges = keys.last_value_map(e, "bill_id", "target", order=LOG_ORDER, out_key="src", out_value="dst")
+    resolved = resolve_links(e.select(F.col("bill_id").alias("id")), edges, cycle="stop")
+    numbers = keys.keep_first(e.select("bill_id", "bill_no", "ts", "event_id"), "bill_id", order=LOG_ORDER)
+    res = rewrite_ids(e, resolved, numbers.select(F.col("bill_id").alias("id"), F.col("bill_no").alias("no")),
+                      "bill_id", "bill_no")
+    return res.select("event_id", "bill_id", "bill_no")
+
+
+# Explode next to the parent, overlay, mark --------------------------------------------
+def _children_frame(spark, sf_dir, with_id_clash: bool):
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "props")
+    k = N.extract_field("props", "k", None, "int", style="json")
+    n = (F.col("event_id") % 3).cast("int")
+    kids = []
+    for i in (1, 2):
+        fields = [F.concat(F.col("event_type"), F.lit(f"#{i}")).alias("item_name"),
+                  (k + F.lit(i)).cast("double").alias("quantity"),
+                  F.lit(i * 1000.0).alias("price")]
+        if with_id_clash:
+            fields += [(F.col("event_id") + F.lit(100000 * i)).alias("event_id"),
+                       F.concat(F.lit("SKU"), F.lit(str(i))).alias("sku")]
+        else:
+            fields += [(F.lit("L") if i == 2 else F.lit(None).cast("string")).alias("size")]
+        kids.append(F.struct(*fields))
+    base = ev.select("event_id", F.col("event_type").alias("item_name"), F.col("value").alias("quantity"),
+                     F.lit(None).cast("double").alias("price"),
+                     F.slice(F.array(*kids), 1, n).alias("children"))
+    from tillwork.operators.nested import explode_keep_parent
+    return explode_keep_parent(base, "children").drop("children")
+
+
+_KIDS_SQL = """
+b AS (SELECT event_id, event_type, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id % 3 AS n
+      FROM events),
+kid AS (SELECT b.*, CAST(t.i AS INTEGER) AS i FROM b JOIN range(1, 3) t(i) ON t.i <= b.n)"""
+
+
+@register("explode_keep_parent", f"""
+WITH {_KIDS_SQL.strip()}
+SELECT event_id, 0 AS child_pos, event_type AS item_name, value AS quantity, CAST(NULL AS DOUBLE) AS price,
+       CAST(NULL AS VARCHAR) AS size FROM b
+UNION ALL
+SELECT event_id, i AS child_pos, '+ ' || event_type || '#' || CAST(i AS VARCHAR) AS item_name,
+       CAST(k + i AS DOUBLE) AS quantity, i * 1000.0 AS price, CASE WHEN i = 2 THEN 'L' END AS size FROM kid
+""")
+def q_explode_keep_parent(spark, sf_dir):
+    from tillwork.operators.nested import mark_children, overlay_children
+    ex = _children_frame(spark, sf_dir, with_id_clash=False)
+    is_child = F.col("child").isNotNull()
+    ex = ex.withColumn("__is_child", is_child)
+    res = overlay_children(ex, "child", overwrite="all")
+    res = mark_children(res, F.col("__is_child"), "item_name")
+    return res.select("event_id", "child_pos", "item_name", "quantity", "price", "size")
+
+
+@register("overwrite_children", f"""
+WITH {_KIDS_SQL.strip()}
+SELECT event_id, 0 AS child_pos, event_type AS item_name, value AS quantity, CAST(NULL AS DOUBLE) AS price,
+       CAST(NULL AS VARCHAR) AS sku FROM b
+UNION ALL
+SELECT event_id, i AS child_pos, '+ ' || event_type || '#' || CAST(i AS VARCHAR) AS item_name,
+       CAST(k + i AS DOUBLE) AS quantity, i * 1000.0 AS price, 'SKU' || CAST(i AS VARCHAR) AS sku FROM kid
+""")
+def q_overwrite_children(spark, sf_dir):
+    from tillwork.operators.nested import DISPLAY_FIELDS, mark_children, overlay_children
+    ex = _children_frame(spark, sf_dir, with_id_clash=True)
+    ex = ex.withColumn("__is_child", F.col("child").isNotNull())
+    res = overlay_children(ex, "child", overwrite=DISPLAY_FIELDS)
+    res = mark_children(res, F.col("__is_child"), "item_name")
+    return res.select("event_id", "child_pos", "item_name", "quantity", "price", "sku")
+
+
+# List text ---------------------------------------------------------------------------
+def _list_text():
+    k = F.get_json_object("props", "$.k")
+    r = F.col("event_id") % 6
+    return (F.when(r == 0, F.concat(F.lit("[{'item_name': 'A', 'quantity': "), k, F.lit("}]")))
+            .when(r == 1, F.lit(""))
+            .when(r == 2, F.lit("None"))
+            .when(r == 3, F.concat(F.lit("[{'item_name': 'Cà phê d'Arc', 'quantity': "), k, F.lit("}]")))
+            .when(r == 4, F.lit("{'item_name': 'A'}"))
+            .otherwise(F.concat(F.lit("[{'item_name': 'B', 'quantity': "), k,
+                                F.lit("}, {'item_name': 'C', 'quantity': None, 'flag': True}]"))))
+
+
+@register("parse_list", """
+WITH b AS (SELECT event_id, event_id % 6 AS r, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events)
+SELECT event_id,
+       CASE r WHEN 0 THEN 1 ELSE 0 END AS n_json,
+       CASE r WHEN 0 THEN 1 WHEN 5 THEN 2 ELSE 0 END AS n_python,
+       CASE WHEN r = 0 THEN k END AS first_qty_json,
+       CASE WHEN r IN (0, 5) THEN k END AS first_qty_python,
+       CASE WHEN r = 5 THEN 'C' END AS second_name_python
+FROM b
+""")
+def q_parse_list(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    schema = "struct<item_name:string,quantity:double,flag:boolean>"
+    staged = ev.select("event_id", N.parse_list(_list_text(), schema, style="json").alias("j"),
+                       N.parse_list(_list_text(), schema, style="python").alias("p"))
+    return staged.select("event_id", F.size("j").alias("n_json"), F.size("p").alias("n_python"),
+                         F.try_element_at("j", F.lit(1))["quantity"].alias("first_qty_json"),
+                         F.try_element_at("p", F.lit(1))["quantity"].alias("first_qty_python"),
+                         F.try_element_at("p", F.lit(2))["item_name"].alias("second_name_python"))
+
+
+# Dict text fields ------------------------------------------------------------------
+def _dict_text():
+    k = F.get_json_object("props", "$.k")
+    eid = F.col("event_id").cast("string")
+    r = F.col("event_id") % 5
+    return (F.when(r == 0, F.concat(F.lit("{'peo_count': "), k, F.lit(", 'Membership_Type_Name': 'Gold', "
+                                                                       "'customer_name': 'An', 'customer_phone': None, 'tran_id': 'D"),
+                                    eid, F.lit("'}")))
+            .when(r == 1, F.concat(F.lit("{'peo_count': "), k, F.lit("}")))
+            .when(r == 2, F.lit("nan"))
+            .when(r == 3, F.lit("{'customer_name': 'Bình', 'message_modify_table': 'Bàn 5 gộp vào HD00000001 - x'}"))
+            .otherwise(F.concat(F.lit("[{'tran_id': 'T1'}, {'tran_id': 'T"), eid, F.lit("'}]"))))
+
+
+@register("extract_fields", """
+WITH b AS (SELECT event_id, event_id % 5 AS r, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT event_id, k,
+       CASE WHEN r IN (0, 1) THEN k ELSE 0 END AS peo_count,
+       CASE WHEN r = 0 THEN 'Gold' ELSE '' END AS membership,
+       CASE r WHEN 0 THEN 'An' WHEN 3 THEN 'Bình' ELSE '' END AS customer_name,
+       CASE WHEN r = 0 THEN NULL ELSE '' END AS customer_phone,
+       CASE WHEN r = 3 THEN 'Bàn 5 gộp vào HD00000001 - x' ELSE '' END AS note,
+       CASE r WHEN 0 THEN 'D' || CAST(event_id AS VARCHAR) WHEN 4 THEN 'T' || CAST(event_id AS VARCHAR)
+              ELSE 'E' || CAST(event_id AS VARCHAR) END AS tran_id
+FROM b
+""")
+def q_extract_fields(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    staged = ev.select("event_id", "props", _dict_text().alias("extra"))
+    fields = N.extract_fields("extra", {"peo_count": ("int", 0), "Membership_Type_Name": ("string", ""),
+                                        "customer_name": ("string", ""), "customer_phone": ("string", "")})
+    return staged.select(
+        "event_id",
+        N.extract_field("props", "k", None, "int", style="json").alias("k"),
+        fields["peo_count"].alias("peo_count"), fields["Membership_Type_Name"].alias("membership"),
+        fields["customer_name"].alias("customer_name"), fields["customer_phone"].alias("customer_phone"),
+        N.extract_field("extra", "message_modify_table", "").alias("note"),
+        F.coalesce(N.extract_id("extra", "tran_id"),
+                   F.concat(F.lit("E"), F.col("event_id").cast("string"))).alias("tran_id"),
+    )
+
+
+# Flagged history, exclusion, lookup ------------------------------------------------------
+@register("flagged_history", f"""
+WITH {LOG_CTE.strip()}
+SELECT event_id, grp, log_type FROM log l
+WHERE EXISTS (SELECT 1 FROM log f WHERE f.grp IS NOT DISTINCT FROM l.grp
+              AND regexp_matches(f.log_type, '(?i)SALE_SPLIT_ORDER|SALE_MERGE_ORDER'))
+""")
+def q_flagged_history(spark, sf_dir):
+    lg = order_log(spark, sf_dir).select("event_id", "grp", "log_type")
+    return joins.keep_flagged(lg, "grp", P.contains_any("log_type", "SALE_SPLIT_ORDER|SALE_MERGE_ORDER"))
+
+
+@register("exclude_list", f"""
+WITH {LOG_CTE.strip()}
+SELECT event_id, grp, log_type FROM log l
+WHERE l.log_type IN ('SALE_CHANGE', 'SALE_SPLIT_ORDER', 'SALE_MERGE_ORDER')
+  AND NOT EXISTS (SELECT 1 FROM log x WHERE x.grp IS NOT DISTINCT FROM l.grp
+                  AND x.log_type IN ('SALE_CHANGE', 'SALE_SPLIT_ORDER', 'SALE_MERGE_ORDER')
+                  AND NOT coalesce(regexp_matches(x.log_type, '(?i)SALE_CHANGE'), false))
+""")
+def q_exclude_list(spark, sf_dir):
+    lg = order_log(spark, sf_dir).select("event_id", "grp", "log_type")
+    lg = lg.filter(P.is_one_of("log_type", A.LOG_TYPES))
+    others = lg.filter(~P.contains_any("log_type", "SALE_CHANGE")).select("grp")
+    return joins.exclude_listed(lg, "grp", others, "grp")
+
+
+@register("lookup", """
+SELECT e.event_id, c.c_name AS customer FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+""")
+def q_lookup(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return joins.lookup(ev, "user_id", cust, "c_custkey", "c_name", out="customer").select("event_id", "customer")
