@@ -135,13 +135,28 @@ def q_log_stats(spark, sf_dir):
 
 
 # Customer classification -------------------------------------------
-@register("classify_customer", f"""
-WITH {INVOICE_CTE.strip()}
-SELECT DISTINCT c_custkey, customer, phone, membership, customer_type FROM inv_c
+@register("classify_customer", """
+WITH c AS (
+  SELECT c_custkey,
+         CASE WHEN c_custkey % 17 = 0 THEN 'iPOS-O2O' WHEN c_custkey % 19 = 0 THEN ' ' ELSE c_name END AS customer,
+         CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN ''
+              ELSE '09' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS phone,
+         CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 'Thành viên mặc định'
+              ELSE c_mktsegment END AS membership
+  FROM customer)
+SELECT c_custkey, customer, phone, membership,
+       CASE WHEN customer = 'iPOS-O2O' OR customer IS NULL OR trim(customer) = ''
+                 OR phone IS NULL OR trim(phone) = '' THEN 'Khách lẻ'
+            WHEN membership IS NULL OR trim(membership) = '' OR membership = 'Thành viên mặc định' THEN 'Khách mới'
+            ELSE 'Khách quay lại' END AS customer_type
+FROM c
 """)
 def q_classify_customer(spark, sf_dir):
-    inv = invoice_lines(spark, sf_dir)
-    return inv.select("c_custkey", "customer", "phone", "membership", "customer_type").distinct()
+    from tillwork.plans.standins import customer_fields
+
+    c = customer_fields(table(spark, sf_dir, "customer"))
+    return c.select("c_custkey", "customer", "phone", "membership",
+                    S.classify_customer("customer", "phone", "membership").alias("customer_type"))
 
 
 # C4: calendar parts -----------------------------------------------------------
@@ -634,3 +649,334 @@ def q_lookup(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "user_id")
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return joins.lookup(ev, "user_id", cust, "c_custkey", "c_name", out="customer").select("event_id", "customer")
+
+
+# J2–J5 (X6): two-pass matching of log rows to invoice lines ---------------------------------
+# Both sides come from lineitem: the invoice side is the line as is; the log
+# side changes the quantity of every 5th line number (strict miss, loose hit)
+# and the item of every 6th (miss on both); every 7th has a null item on both
+# sides (null-safe keys, occurrence 0).
+_IDENT = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+
+
+def _match_sides(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    ln = F.col("l_linenumber")
+    code = F.concat(F.col("l_returnflag"), F.col("l_linestatus"))
+    q = F.col("l_quantity").cast("bigint")
+    base = li.select("l_orderkey", *_IDENT, "l_shipdate",
+                     F.col("l_orderkey").cast("string").alias("bill"), q.alias("q"),
+                     F.when(ln % 7 == 0, F.lit(None).cast("string")).otherwise(code).alias("vi"),
+                     F.when(ln % 7 == 0, F.lit(None).cast("string")).when(ln % 6 == 0, F.lower(code))
+                      .otherwise(code).alias("li_item"),
+                     F.when(ln % 5 == 0, q + 1).otherwise(q).alias("li_qty"))
+    order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+    yb = F.year("l_shipdate")
+    v = keys.occurrence(base, ["bill", "vi", "q"], order=order, out="v_occ", bucket=yb).select(
+        F.col("bill").alias("v_invoice_id"), F.col("vi").alias("v_item"), F.col("q").alias("v_qty"), "v_occ",
+        *[F.col(c).alias("v_" + c[2:]) for c in _IDENT])
+    lg = keys.occurrence(base, ["bill", "li_item", "li_qty"], order=order, out="l_occ", bucket=yb).select(
+        F.col("bill").alias("l_invoice_id"), F.col("li_item").alias("l_item"), F.col("li_qty").alias("l_qty"), "l_occ",
+        F.struct(*order).alias("l_ord"), *[F.col(c).alias("lg_" + c[2:]) for c in _IDENT])
+    return lg, v
+
+
+MATCH_CTE = """
+li AS (SELECT *, CAST(trunc(l_quantity) AS BIGINT) AS q, l_returnflag || l_linestatus AS code FROM lineitem),
+b AS (SELECT *, CAST(l_orderkey AS VARCHAR) AS bill,
+             CASE WHEN l_linenumber % 7 = 0 THEN NULL ELSE code END AS vi,
+             CASE WHEN l_linenumber % 7 = 0 THEN NULL WHEN l_linenumber % 6 = 0 THEN lower(code) ELSE code END AS li_item,
+             CASE WHEN l_linenumber % 5 = 0 THEN q + 1 ELSE q END AS li_qty
+      FROM li),
+v AS (SELECT bill AS v_invoice_id, vi AS v_item, q AS v_qty,
+             CAST(CASE WHEN vi IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY bill, vi, q
+                  ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice) END AS INTEGER) AS v_occ,
+             l_linenumber AS v_linenumber, l_partkey AS v_partkey, l_suppkey AS v_suppkey, l_extendedprice AS v_extendedprice
+      FROM b),
+l AS (SELECT bill AS l_invoice_id, li_item AS l_item, li_qty AS l_qty,
+             CAST(CASE WHEN li_item IS NULL THEN 0 ELSE row_number() OVER (PARTITION BY bill, li_item, li_qty
+                  ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey, l_extendedprice) END AS INTEGER) AS l_occ,
+             l_shipdate, l_linenumber AS lg_linenumber, l_partkey AS lg_partkey, l_suppkey AS lg_suppkey,
+             l_extendedprice AS lg_extendedprice
+      FROM b),
+strict AS (SELECT v.*, l.lg_linenumber, l.lg_partkey, l.lg_suppkey, l.lg_extendedprice, l.l_item
+           FROM l RIGHT JOIN v ON l.l_invoice_id IS NOT DISTINCT FROM v.v_invoice_id
+             AND l.l_item IS NOT DISTINCT FROM v.v_item AND l.l_qty IS NOT DISTINCT FROM v.v_qty
+             AND l.l_occ IS NOT DISTINCT FROM v.v_occ)"""
+
+_V_OUT = "v_invoice_id, v_linenumber, v_partkey, v_suppkey, v_extendedprice"
+_L_OUT = "lg_linenumber, lg_partkey, lg_suppkey, lg_extendedprice"
+
+
+@register("match_strict", f"""
+WITH {MATCH_CTE.strip()}
+SELECT {_V_OUT}, {_L_OUT} FROM strict
+""")
+def q_match_strict(spark, sf_dir):
+    lg, v = _match_sides(spark, sf_dir)
+    m = joins.match_strict(lg, v, [("l_invoice_id", "v_invoice_id"), ("l_item", "v_item"), ("l_qty", "v_qty"),
+                                   ("l_occ", "v_occ")], how="right")
+    return m.select(*_V_OUT.split(", "), *_L_OUT.split(", "))
+
+
+@register("unmatched_log", f"""
+WITH {MATCH_CTE.strip()}
+SELECT l_invoice_id, {_L_OUT} FROM l
+WHERE NOT EXISTS (SELECT 1 FROM v WHERE l.l_invoice_id IS NOT DISTINCT FROM v.v_invoice_id
+                  AND l.l_item IS NOT DISTINCT FROM v.v_item AND l.l_qty IS NOT DISTINCT FROM v.v_qty
+                  AND l.l_occ IS NOT DISTINCT FROM v.v_occ)
+""")
+def q_unmatched_log(spark, sf_dir):
+    lg, v = _match_sides(spark, sf_dir)
+    left = joins.unmatched(lg, v, [("l_invoice_id", "v_invoice_id"), ("l_item", "v_item"), ("l_qty", "v_qty"),
+                                   ("l_occ", "v_occ")])
+    return left.select("l_invoice_id", *_L_OUT.split(", "))
+
+
+@register("match_loose", f"""
+WITH {MATCH_CTE.strip()},
+left_log AS (SELECT * FROM l
+             WHERE NOT EXISTS (SELECT 1 FROM v WHERE l.l_invoice_id IS NOT DISTINCT FROM v.v_invoice_id
+                   AND l.l_item IS NOT DISTINCT FROM v.v_item AND l.l_qty IS NOT DISTINCT FROM v.v_qty
+                   AND l.l_occ IS NOT DISTINCT FROM v.v_occ)
+             QUALIFY row_number() OVER (PARTITION BY l_invoice_id, l_item
+                     ORDER BY l_shipdate, lg_linenumber, lg_partkey, lg_suppkey, lg_extendedprice) = 1),
+left_inv AS (SELECT * FROM strict WHERE l_item IS NULL)
+SELECT {_V_OUT.replace("v_", "left_inv.v_")}, {_L_OUT.replace("lg_", "left_log.lg_")}
+FROM left_log JOIN left_inv ON left_log.l_invoice_id IS NOT DISTINCT FROM left_inv.v_invoice_id
+                           AND left_log.l_item IS NOT DISTINCT FROM left_inv.v_item
+""")
+def q_match_loose(spark, sf_dir):
+    lg, v = _match_sides(spark, sf_dir)
+    pairs = [("l_invoice_id", "v_invoice_id"), ("l_item", "v_item"), ("l_qty", "v_qty"), ("l_occ", "v_occ")]
+    strict = joins.match_strict(lg, v, pairs, how="right")
+    _, left_inv = joins.split_matched(strict, "l_item")
+    left_log = joins.unmatched(lg, v, pairs)
+    loose = joins.match_loose(left_log, left_inv.select(*[c for c in left_inv.columns if c.startswith("v_")]),
+                              [("l_invoice_id", "v_invoice_id"), ("l_item", "v_item")],
+                              dedupe_keys=["l_invoice_id", "l_item"], order=["l_ord"])
+    return loose.select(*_V_OUT.split(", "), *_L_OUT.split(", "))
+
+
+# Net orders — calendar parts, reverse deduction, occurrence --------------------------------
+@register("net_orders", f"""
+WITH {LOG_CTE.strip()},
+debt AS (SELECT bill, item, sum(-qty) AS d FROM log WHERE qty < 0 GROUP BY bill, item),
+r AS (
+  SELECT p.event_id, p.ts, p.bill, p.item, p.qty,
+         coalesce(sum(p.qty) OVER (PARTITION BY p.bill, p.item ORDER BY p.ts DESC, p.event_id DESC
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS after,
+         coalesce(d.d, 0) AS d
+  FROM log p LEFT JOIN debt d ON p.bill = d.bill AND p.item = d.item
+  WHERE p.qty > 0),
+n AS (SELECT event_id, ts, bill, item, greatest(0, least(qty, qty - greatest(0, d - after))) AS q FROM r)
+SELECT event_id, strftime(ts, '%d/%m/%Y') AS date, strftime(ts, '%V-%G') AS week, strftime(ts, '%m-%Y') AS month,
+       CAST(year(ts) AS INTEGER) AS year, CAST(q AS BIGINT) AS qty,
+       CAST(row_number() OVER (PARTITION BY bill, item, q ORDER BY ts, event_id) AS INTEGER) AS occurrence
+FROM n WHERE q > 0
+""")
+def q_net_orders(spark, sf_dir):
+    lg = order_log(spark, sf_dir).select("event_id", "ts", "bill", "item", "qty", "day")
+    lg = lg.withColumns(S.calendar_parts("ts"))
+    net = deduct.reverse_deduct(lg, "qty", ["bill", "item"], order=LOG_ORDER, bucket="day")
+    occ = keys.occurrence(net, ["bill", "item", "qty"], order=LOG_ORDER, out="occurrence", bucket="day")
+    return occ.select("event_id", "date", "week", "month", "year", "qty", "occurrence")
+
+
+# Split inventory on the events stand-in (no SQL: checked against a
+# sequential walk on small fixtures in tests/test_driver_splits.py) -------------------------------
+def split_inventory_input(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    eid = F.col("event_id")
+    whole = F.col("value").cast("bigint") + F.lit(1)
+    is_split = eid % 10 == 0
+    target = F.concat(F.lit("C"), F.col("user_id").cast("string"), F.lit("-"), (eid % 3).cast("string"))
+    return ev.select(
+        "event_id", "ts",
+        F.concat(F.lit("F"), F.col("user_id").cast("string")).alias("family"),
+        F.col("event_type").alias("item"),
+        F.when(is_split, -whole).when(eid % 7 == 0, -whole).otherwise(whole).cast("double").alias("qty"),
+        F.when(is_split, F.lit("SALE_SPLIT_ORDER")).otherwise(F.lit("SALE_CHANGE")).alias("log_type"),
+        F.when(is_split, target).alias("split_to"),
+        F.when(is_split, F.concat(F.lit("N"), target)).alias("split_no"),
+        F.concat(F.lit("I"), F.col("user_id").cast("string")).alias("invoice_id"),
+        F.concat(F.lit("N"), F.col("user_id").cast("string")).alias("invoice_no"),
+        F.struct("event_id").alias("ord"),
+    )
+
+
+@register("split_inventory", None)
+def q_split_inventory(spark, sf_dir):
+    from tillwork.operators.splits import split_inventory
+
+    df = split_inventory_input(spark, sf_dir)
+    res = split_inventory(df, "family", "ts", "item", "qty", "log_type", "split_to", "split_no",
+                          "invoice_id", "invoice_no", bucket=F.to_date)
+    return res.select("event_id", "family", "item", "invoice_id", "invoice_no", "qty")
+
+
+# Landed pages → entries → flattened change log ------------------------------------------
+# Pages are built by Spark from events: one page per (store = user_id % 5,
+# page = event_id div 100), so a page holds at most 100 entries; the payload
+# shape rotates over list / {"data": list} / {"data": {"items": list}}.
+def landed_log_pages(spark, sf_dir) -> DataFrame:
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    eid, uid = F.col("event_id"), F.col("user_id")
+    k = F.get_json_object("props", "$.k")
+    item1 = F.concat(F.lit("{'item_name': '"), F.col("event_type"), F.lit("', 'quantity': "), k)
+    cd = (F.when(eid % 9 == 0, F.lit("bad{"))
+          .when(eid % 4 == 0, F.concat(F.lit("{'table_name': 'H"), uid.cast("string"), F.lit("'}")))
+          .when(eid % 3 == 0, F.concat(F.lit("{'table_name': 'H"), uid.cast("string"), F.lit("', 'sale_detail': ["),
+                                       item1, F.lit("}, {'item_name': '"), F.col("event_type"),
+                                       F.lit("-2', 'quantity': 1, 'table_name': null}]}")))
+          .otherwise(F.concat(F.lit("{'sale_detail': ["), item1, F.lit(", 'price': 1000}]}"))))
+    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    entry = F.struct(
+        F.concat(F.lit("T"), uid.cast("string")).alias("tran_id"),
+        F.concat(F.lit("N"), eid.cast("string")).alias("tran_no"),
+        ms.alias("tran_date"),
+        F.concat(F.lit("B"), (uid % 10).cast("string")).alias("table_name"),
+        F.concat(F.lit("E"), (uid % 7).cast("string")).alias("employee_name"),
+        F.lit("SALE_CHANGE").alias("log_type"), F.lit("{}").alias("extra_data"), cd.alias("change_data"))
+    staged = ev.select((uid % 5).alias("store"), F.floor(eid / 100).alias("page"), F.struct(eid.alias("o"), entry.alias("e")).alias("x"))
+    pages = staged.groupBy("store", "page").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    arr = F.transform("xs", lambda x: x["e"])
+    shape = F.col("page") % 3
+    body = (F.when(shape == 0, F.to_json(arr))
+            .when(shape == 1, F.to_json(F.struct(arr.alias("data"))))
+            .otherwise(F.to_json(F.struct(F.struct(arr.alias("items")).alias("data")))))
+    path = F.concat(F.lit("landed/report_date=2024-01-01/store=S"), F.col("store").cast("string"),
+                    F.lit("/page="), F.col("page").cast("string"), F.lit(".json"))
+    return pages.select(body.alias("body"), path.alias("path"))
+
+
+@register("flatten_change_log", """
+WITH b AS (
+  SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+         'S' || CAST(user_id % 5 AS VARCHAR) AS store_uid, CAST(event_id // 100 AS INTEGER) AS page_no,
+         CAST(row_number() OVER (PARTITION BY user_id % 5, event_id // 100 ORDER BY event_id) - 1 AS INTEGER) AS entry_pos,
+         'B' || CAST(user_id % 10 AS VARCHAR) AS tb, 'H' || CAST(user_id AS VARCHAR) AS th
+  FROM events),
+one AS (
+  SELECT event_id, store_uid, page_no, entry_pos, CAST(NULL AS INTEGER) AS item_pos,
+         CASE WHEN event_id % 9 = 0 THEN tb ELSE th END AS table_name,
+         CAST(NULL AS VARCHAR) AS item_name, CAST(NULL AS DOUBLE) AS quantity, CAST(NULL AS DOUBLE) AS price
+  FROM b WHERE event_id % 9 = 0 OR event_id % 4 = 0),
+two AS (
+  SELECT event_id, store_uid, page_no, entry_pos, 0 AS item_pos, th AS table_name, event_type AS item_name,
+         k AS quantity, CAST(NULL AS DOUBLE) AS price
+  FROM b WHERE event_id % 9 <> 0 AND event_id % 4 <> 0 AND event_id % 3 = 0
+  UNION ALL
+  SELECT event_id, store_uid, page_no, entry_pos, 1, NULL, event_type || '-2', 1.0, NULL
+  FROM b WHERE event_id % 9 <> 0 AND event_id % 4 <> 0 AND event_id % 3 = 0),
+single AS (
+  SELECT event_id, store_uid, page_no, entry_pos, 0 AS item_pos, tb AS table_name, event_type AS item_name,
+         k AS quantity, 1000.0 AS price
+  FROM b WHERE event_id % 9 <> 0 AND event_id % 4 <> 0 AND event_id % 3 <> 0)
+SELECT 'N' || CAST(event_id AS VARCHAR) AS tran_no, store_uid, page_no, entry_pos, item_pos, table_name,
+       item_name, quantity, price
+FROM (SELECT * FROM one UNION ALL SELECT * FROM two UNION ALL SELECT * FROM single)
+""")
+def q_flatten_change_log(spark, sf_dir):
+    from tillwork.sources.pages import CHANGE_LOG_ENTRY, flatten_change_log, pages_to_entries
+
+    entries = pages_to_entries(landed_log_pages(spark, sf_dir), "body", "path", CHANGE_LOG_ENTRY)
+    flat = flatten_change_log(entries)
+    return flat.select("tran_no", "store_uid", "page_no", "entry_pos", "item_pos", "table_name", "item_name",
+                       "quantity", "price")
+
+
+# Row-level plumbing ---------------------------------------------------------
+@register("union_by_name", """
+SELECT event_id AS id, user_id AS party, value AS amount, CAST(NULL AS VARCHAR) AS status FROM events
+UNION ALL
+SELECT o_orderkey AS id, o_custkey AS party, NULL AS amount, o_orderstatus AS status FROM orders
+""")
+def q_union_by_name(spark, sf_dir):
+    from tillwork.operators.rows import union_by_name
+
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("party"),
+                                               F.col("value").alias("amount"))
+    od = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("id"),
+                                               F.col("o_custkey").alias("party"))
+    return union_by_name(ev, od)
+
+
+@register("partition_rows", f"""
+WITH {LOG_CTE.strip()}
+SELECT event_id, 'positive' AS part, qty FROM log WHERE qty > 0
+UNION ALL
+SELECT event_id, 'other' AS part, qty FROM log WHERE NOT coalesce(qty > 0, false)
+""")
+def q_partition_rows(spark, sf_dir):
+    from tillwork.operators.rows import partition_rows, union_by_name
+
+    lg = order_log(spark, sf_dir).select("event_id", "qty")
+    pos, other = partition_rows(lg, F.col("qty") > 0)
+    return union_by_name(pos.withColumn("part", F.lit("positive")), other.withColumn("part", F.lit("other")))
+
+
+@register("first_rows", f"""
+WITH {LOG_CTE.strip()}
+SELECT event_id, sparse FROM log ORDER BY sparse ASC NULLS LAST, ts, event_id LIMIT 100
+""")
+def q_first_rows(spark, sf_dir):
+    from tillwork.operators.rows import first_rows
+
+    lg = order_log(spark, sf_dir).select("event_id", "sparse", "ts")
+    keyed = lg.withColumn("ord", F.struct(F.col("sparse").isNull().alias("n"), "sparse", "ts", "event_id"))
+    return first_rows(keyed, 100).select("event_id", "sparse")
+
+
+@register("fixed_layout", """
+SELECT event_id AS id, user_id AS party, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS DOUBLE) AS discount, value
+FROM events
+""")
+def q_fixed_layout(spark, sf_dir):
+    from tillwork.operators.rows import fixed_layout, rename, select_existing
+
+    ev = table(spark, sf_dir, "events")
+    picked = select_existing(ev, ["event_id", "no_such_column", "user_id", "value"])
+    laid = fixed_layout(picked, {"event_id": "bigint", "user_id": "bigint", "note": "string", "discount": "double",
+                                 "value": "double"})
+    return rename(laid, {"event_id": "id", "user_id": "party", "absent": "never"})
+
+
+# Report windows ----------------------------------------------------------------------------
+@register("report_window", """
+WITH b AS (SELECT epoch_us(ts) // 1000 AS ms, CAST(ts + INTERVAL 7 HOUR AS DATE) AS d FROM events)
+SELECT strftime(d, '%d-%m-%Y') AS report_date,
+       epoch_ms(CAST(d AS TIMESTAMP) - INTERVAL 7 HOUR) AS from_ms,
+       epoch_ms(CAST(d AS TIMESTAMP) - INTERVAL 7 HOUR) + 86399000 AS to_ms,
+       count(*) AS n_events,
+       count(*) FILTER (WHERE ms BETWEEN epoch_ms(CAST(d AS TIMESTAMP) - INTERVAL 7 HOUR)
+                                     AND epoch_ms(CAST(d AS TIMESTAMP) - INTERVAL 7 HOUR) + 86399000) AS n_in_window
+FROM b GROUP BY d
+""")
+def q_report_window(spark, sf_dir):
+    from tillwork.sources.invoices import window_columns
+
+    ev = table(spark, sf_dir, "events")
+    ms = F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
+    w = window_columns(ms)
+    staged = ev.select(ms.alias("ms"), *[c.alias(n) for n, c in w.items()])
+    inside = (F.col("ms") >= F.col("from_ms")) & (F.col("ms") <= F.col("to_ms"))
+    return staged.groupBy("report_date", "from_ms", "to_ms").agg(F.count(F.lit(1)).alias("n_events"),
+                                                                 F.count_if(inside).alias("n_in_window"))
+
+
+# Block sums, distinct keys --------------------------------------------------------------
+@register("block_sum", f"""
+WITH {LOG_CTE.strip()}
+SELECT bill, CAST(ts AS DATE) AS day, item, CAST(abs(sum(qty)) AS BIGINT) AS qty FROM log GROUP BY bill, CAST(ts AS DATE), item
+""")
+def q_block_sum(spark, sf_dir):
+    lg = order_log(spark, sf_dir).select("bill", "day", "item", "qty")
+    return A.block_sum(lg, ["bill", "day", "item"], "qty")
+
+
+@register("distinct_keys", """
+SELECT DISTINCT user_id, event_type FROM events
+""")
+def q_distinct_keys(spark, sf_dir):
+    return A.distinct_keys(table(spark, sf_dir, "events"), ["user_id", "event_type"])

@@ -48,6 +48,22 @@ def order_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _customer_exprs():
+    ck = F.col("c_custkey")
+    name = (F.when(ck % 17 == 0, F.lit("iPOS-O2O")).when(ck % 19 == 0, F.lit(" ")).otherwise(F.col("c_name")))
+    phone = (F.when(ck % 11 == 0, F.lit(None).cast("string")).when(ck % 7 == 0, F.lit(""))
+             .otherwise(F.concat(F.lit("09"), F.lpad(ck.cast("string"), 8, "0"))))
+    membership = (F.when(ck % 3 == 0, F.lit(None).cast("string")).when(ck % 3 == 1, F.lit("Thành viên mặc định"))
+                  .otherwise(F.col("c_mktsegment")))
+    return name, phone, membership
+
+
+def customer_fields(cust: DataFrame) -> DataFrame:
+    """Customer name / phone / membership with blanks, nulls and the kiosk account."""
+    name, phone, membership = _customer_exprs()
+    return cust.select("c_custkey", name.alias("customer"), phone.alias("phone"), membership.alias("membership"))
+
+
 def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Invoice lines with store, employee and customer fields."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
@@ -63,12 +79,7 @@ def invoice_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(part, F.col("l_partkey") == part.p_partkey)
          .join(supp, F.col("l_suppkey") == supp.s_suppkey)
          .join(nation, F.col("s_nationkey") == nation.n_nationkey))
-    ck = F.col("c_custkey")
-    name = (F.when(ck % 17 == 0, F.lit("iPOS-O2O")).when(ck % 19 == 0, F.lit(" ")).otherwise(F.col("c_name")))
-    phone = (F.when(ck % 11 == 0, F.lit(None).cast("string")).when(ck % 7 == 0, F.lit(""))
-             .otherwise(F.concat(F.lit("09"), F.lpad(ck.cast("string"), 8, "0"))))
-    membership = (F.when(ck % 3 == 0, F.lit(None).cast("string")).when(ck % 3 == 1, F.lit("Thành viên mặc định"))
-                  .otherwise(F.col("c_mktsegment")))
+    name, phone, membership = _customer_exprs()
     item = F.when(F.col("l_linenumber") > 1, F.concat(F.lit("+ "), F.col("p_name"))).otherwise(F.col("p_name"))
     return j.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate", "c_custkey",
