@@ -112,9 +112,17 @@ WHERE date IS NOT NULL AND week IS NOT NULL AND month IS NOT NULL AND year IS NO
 GROUP BY date, week, month, year, store, invoice_no, guests, customer_type, employee, phone
 """)
 def q_staff_kpi(spark, sf_dir):
-    kpi_keys = ["date", "week", "month", "year", "store", "invoice_no", "guests", "customer_type", "employee", "phone"]
-    res = A.kpi_sum(priced_lines(spark, sf_dir), kpi_keys, "order_value")
-    return res.withColumn("order_value", F.round("order_value", 2))
+    # date/week/month/year are functions of the day: group on the DATE value
+    # (narrow key) and render the four labels per group afterwards.
+    inv = invoice_lines(spark, sf_dir)
+    price = S.override_price("item", "unit_price", STANDIN_PRICE_RULES)
+    lines = inv.select(F.to_date("ts").alias("day"), "store", "invoice_no", "guests", "customer_type", "employee",
+                       "phone", S.order_value("qty", price).alias("order_value"))
+    keys_ = ["day", "store", "invoice_no", "guests", "customer_type", "employee", "phone"]
+    res = A.kpi_sum(lines, keys_, "order_value")
+    cal = S.calendar_parts(F.col("day").cast("timestamp_ntz"))
+    return res.select(*[cal[n].alias(n) for n in ("date", "week", "month", "year")], *keys_[1:],
+                      F.round("order_value", 2).alias("order_value"))
 
 
 # A2 A3 F1: log statistics ---------------------------------------------------
