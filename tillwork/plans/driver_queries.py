@@ -988,3 +988,48 @@ SELECT DISTINCT user_id, event_type FROM events
 """)
 def q_distinct_keys(spark, sf_dir):
     return A.distinct_keys(table(spark, sf_dir, "events"), ["user_id", "event_type"])
+
+
+# Scalar and row helpers on the order log ------------------------------
+@register("row_helpers", f"""
+WITH {LOG_CTE.strip()},
+n AS (SELECT *, {NOTE_SQL.strip()} AS note,
+             CASE WHEN event_id % 3 = 0 THEN '  ' || event_type || ' ' WHEN event_id % 3 = 1 THEN '' ELSE NULL END AS raw_item,
+             CASE WHEN event_id % 4 = 0 THEN 'x' ELSE CAST(value AS VARCHAR) END AS qty_text,
+             CASE WHEN event_id % 6 = 0 THEN 'HD' || CAST(event_id AS VARCHAR) END AS split_to,
+             CASE WHEN event_id % 12 = 0 THEN NULL WHEN event_id % 6 = 0 THEN 'N' || CAST(event_id AS VARCHAR) END AS split_no
+      FROM log)
+SELECT event_id,
+       trim(raw_item) AS item,
+       nullif(raw_item, '') AS item_or_null,
+       coalesce(CAST(raw_item AS VARCHAR), 'nan') AS item_text,
+       right(coalesce(split_no, ''), 4) AS sort_tail,
+       coalesce(TRY_CAST(qty_text AS DOUBLE), 0.0) AS qty_num,
+       CAST(trunc(coalesce(TRY_CAST(qty_text AS DOUBLE), 0.0)) AS BIGINT) AS qty_int,
+       coalesce(qty < 0, false) AS is_negative,
+       CASE WHEN log_type = 'SALE_CHANGE' THEN 'edit' ELSE log_type END AS kind
+FROM n
+WHERE NOT coalesce(lower(note) LIKE '%hóa đơn được tạo mới%', false)
+  AND NOT (split_to IS NOT NULL AND split_no IS NULL)
+""")
+def q_row_helpers(spark, sf_dir):
+    from tillwork.operators.rows import assign_where, drop_columns, drop_notes, drop_orphan_splits
+
+    lg = order_log(spark, sf_dir).withColumn("note", note_column())
+    eid = F.col("event_id")
+    lg = lg.select(
+        "event_id", "qty", "log_type", "note", "value", "props",
+        F.when(eid % 3 == 0, F.concat(F.lit("  "), F.col("event_type"), F.lit(" "))).when(eid % 3 == 1, F.lit(""))
+         .otherwise(F.lit(None).cast("string")).alias("raw_item"),
+        F.when(eid % 4 == 0, F.lit("x")).otherwise(F.col("value").cast("string")).alias("qty_text"),
+        F.when(eid % 6 == 0, F.concat(F.lit("HD"), eid.cast("string"))).alias("split_to"),
+        F.when(eid % 12 == 0, F.lit(None).cast("string")).when(eid % 6 == 0, F.concat(F.lit("N"), eid.cast("string")))
+         .alias("split_no"))
+    lg = drop_notes(lg, "note", "hóa đơn được tạo mới")
+    lg = drop_orphan_splits(lg, "split_to", "split_no")
+    lg = assign_where(lg.withColumn("kind", F.col("log_type")), F.col("log_type") == "SALE_CHANGE", "kind", "edit")
+    lg = drop_columns(lg, ["value", "props", "no_such_column"])
+    return lg.select("event_id", S.strip("raw_item").alias("item"), S.blank_to_null("raw_item").alias("item_or_null"),
+                     S.as_text("raw_item", "nan").alias("item_text"), S.last_chars("split_no", 4).alias("sort_tail"),
+                     S.to_number("qty_text").alias("qty_num"), S.to_number("qty_text", truncate=True).alias("qty_int"),
+                     P.is_negative("qty").alias("is_negative"), "kind")
