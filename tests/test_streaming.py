@@ -30,3 +30,16 @@ def test_land_change_log_incremental(spark, tmp_path):
     assert again.count() == 4  # only the new page was added
     assert sorted(r["report_date"].isoformat() if hasattr(r["report_date"], "isoformat") else r["report_date"]
                   for r in again.select("report_date").distinct().collect()) == ["2024-03-05", "2024-03-06"]
+
+
+def test_compact_page_lines(spark, tmp_path):
+    from tillwork.sources.pages import flatten_change_log, read_page_lines
+
+    lines = [{"store_uid": "u-a", "report_date": "2024-03-05", "page_no": p,
+              "body": json.dumps({"data": {"items": [_entry(p * 10 + i, 1) for i in range(3)]}})} for p in range(4)]
+    lines.append({"store_uid": "u-a", "report_date": "2024-03-05", "page_no": 9, "body": ""})
+    path = tmp_path / "pages.jsonl"
+    path.write_text("\n".join(json.dumps(x) for x in lines), encoding="utf-8")
+    flat = flatten_change_log(read_page_lines(spark, str(path)))
+    assert flat.count() == 12
+    assert sorted(r["entry_pos"] for r in flat.filter("page_no = 2").collect()) == [0, 1, 2]

@@ -610,14 +610,14 @@ FROM b
 def q_extract_fields(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select("event_id", "props")
     staged = ev.select("event_id", "props", _dict_text().alias("extra"))
-    fields = N.extract_fields("extra", {"peo_count": ("int", 0), "Membership_Type_Name": ("string", ""),
-                                        "customer_name": ("string", ""), "customer_phone": ("string", "")})
+    staged = N.with_dict_fields(staged, "extra", {"peo_count": ("int", 0), "Membership_Type_Name": ("string", ""),
+                                                  "customer_name": ("string", ""), "customer_phone": ("string", ""),
+                                                  "message_modify_table": ("string", "")},
+                                names={"Membership_Type_Name": "membership", "message_modify_table": "note"})
     return staged.select(
         "event_id",
         N.extract_field("props", "k", None, "int", style="json").alias("k"),
-        fields["peo_count"].alias("peo_count"), fields["Membership_Type_Name"].alias("membership"),
-        fields["customer_name"].alias("customer_name"), fields["customer_phone"].alias("customer_phone"),
-        N.extract_field("extra", "message_modify_table", "").alias("note"),
+        "peo_count", "membership", "customer_name", "customer_phone", "note",
         F.coalesce(N.extract_id("extra", "tran_id"),
                    F.concat(F.lit("E"), F.col("event_id").cast("string"))).alias("tran_id"),
     )
@@ -1033,3 +1033,93 @@ def q_row_helpers(spark, sf_dir):
                      S.as_text("raw_item", "nan").alias("item_text"), S.last_chars("split_no", 4).alias("sort_tail"),
                      S.to_number("qty_text").alias("qty_num"), S.to_number("qty_text", truncate=True).alias("qty_int"),
                      P.is_negative("qty").alias("is_negative"), "kind")
+
+
+# The composed daily job over pages that Spark builds from the driver tables ----------------
+# Invoice headers: orders ⋈ customer, pages of ≤100 orders per (store, page);
+# details: lineitem ⋈ part per order (its first line carries a topping);
+# change log: lineitem ⋈ part ⋈ supplier, pages of ≤20 orders; every 6th
+# line number also cancels one unit, every 7th is a print row.  No oracle:
+# every stage has its own oracle-checked query and the job is tested end to
+# end on hand fixtures (tests/test_pipeline*.py).
+def _ms(ts_col):
+    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts_col)
+
+
+def _pages(df, store, page, entry, shape: str):
+    staged = df.select(store.alias("store"), page.alias("page"), entry.alias("x"))
+    grouped = staged.groupBy("store", "page").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    arr = F.transform("xs", lambda x: x["e"])
+    body = F.to_json(F.struct(arr.alias("data"))) if shape == "data" else F.to_json(arr)
+    return grouped.select(F.concat(F.lit("S"), F.col("store").cast("string")).alias("store_uid"),
+                          F.lit("2024-01-01").alias("report_date"), F.col("page").cast("int").alias("page_no"),
+                          body.alias("body"))
+
+
+def daily_job_inputs(spark, sf_dir):
+    from tillwork.plans.standins import customer_fields
+    from tillwork.sources.invoices import attach_details, details_from_bodies, invoices_from_pages, stores
+    from tillwork.sources.pages import entries_from_pages, flatten_change_log
+
+    dim = stores(spark, {f"S{i}": f"Cửa hàng {i}" for i in range(5)})  # fixed 5-store dimension
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    cust = customer_fields(table(spark, sf_dir, "customer"))
+    ok = F.col("o_orderkey")
+    extra = F.concat(F.lit("{'peo_count': "), ((ok % 4) + 1).cast("string"),
+                     F.lit(", 'Membership_Type_Name': '"), F.coalesce(F.col("membership"), F.lit("")),
+                     F.lit("', 'customer_name': '"), F.coalesce(F.col("customer"), F.lit("")),
+                     F.lit("', 'customer_phone': '"), F.coalesce(F.col("phone"), F.lit("")), F.lit("'}"))
+    header = F.struct(
+        F.concat(F.lit("T"), ok.cast("string")).alias("id"), F.concat(F.lit("T"), ok.cast("string")).alias("tran_id"),
+        F.concat(F.lit("N"), ok.cast("string")).alias("tran_no"), _ms(F.col("o_orderdate")).alias("tran_date"),
+        (ok % 24).cast("string").alias("start_hour"), (F.col("o_custkey") % 60).cast("string").alias("start_minute"),
+        ((ok + 1) % 24).cast("string").alias("end_hour"), F.lit("0").alias("end_minute"),
+        F.concat(F.lit("B"), (ok % 20).cast("string")).alias("table_name"), F.col("o_totalprice").alias("total_amount"),
+        F.lit(0.0).alias("amount_discount_detail"), extra.alias("extra_data"))
+    hdr = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    header_pages = _pages(hdr, ok % 5, F.floor(ok / 100), F.struct(ok.alias("o"), header.alias("e")), "data")
+    headers = invoices_from_pages(header_pages, dim)
+
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                                  "l_shipdate", "l_extendedprice")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    lp = li.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    topping = F.when(F.col("l_linenumber") == 1,
+                     F.lit("[{'item_name': 'Topping Hạt đác', 'price': 5000, 'quantity': 1}]")).otherwise(F.lit("[]"))
+    line = F.struct(F.col("p_name").alias("item_name"), F.floor("l_quantity").cast("double").alias("quantity"),
+                    F.col("p_retailprice").alias("price_org"), F.col("p_retailprice").alias("price"),
+                    F.col("l_extendedprice").alias("amount"), topping.alias("toppings"))
+    order_key = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+    det = (lp.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(order_key.alias("o"), line.alias("e")))).alias("xs"))
+           .select(F.concat(F.lit("S"), (F.col("l_orderkey") % 5).cast("string")).alias("store_uid"),
+                   F.concat(F.lit("T"), F.col("l_orderkey").cast("string")).alias("tran_id"),
+                   F.to_json(F.struct(F.struct(F.transform("xs", lambda x: x["e"]).alias("sale_detail")).alias("data"))).alias("body")))
+    lines = attach_details(headers, details_from_bodies(det))
+
+    supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    lps = lp.join(supp, F.col("l_suppkey") == F.col("s_suppkey"))
+    ln, lk = F.col("l_linenumber"), F.col("l_orderkey")
+    qty = F.floor("l_quantity").cast("bigint").cast("string")
+    item = F.concat(F.lit("{'item_name': '"), F.col("p_name"), F.lit("', 'quantity': "), qty,
+                    F.when(ln == 1, F.lit(", 'toppings': [{'item_name': 'Topping Hạt đác', 'quantity': 1}]")).otherwise(F.lit("")),
+                    F.lit("}"))
+    cancel = F.concat(F.lit(", {'item_name': '"), F.col("p_name"), F.lit("', 'quantity': -1}"))
+    cd = F.concat(F.lit("{'sale_detail': ["), item, F.when(ln % 6 == 0, cancel).otherwise(F.lit("")), F.lit("]}"))
+    entry = F.struct(
+        F.concat(F.lit("T"), lk.cast("string")).alias("tran_id"), F.concat(F.lit("N"), lk.cast("string")).alias("tran_no"),
+        (_ms(F.col("l_shipdate")) + ln * F.lit(60_000)).alias("tran_date"),
+        F.concat(F.lit("B"), (lk % 20).cast("string")).alias("table_name"), F.col("s_name").alias("employee_name"),
+        F.when(ln == 7, F.lit("PRINT")).otherwise(F.lit("SALE_CHANGE")).alias("log_type"),
+        F.lit("{}").alias("extra_data"), cd.alias("change_data"))
+    log_pages = _pages(lps, lk % 5, F.floor(lk / 20), F.struct(order_key.alias("o"), entry.alias("e")), "list")
+    flat = flatten_change_log(entries_from_pages(log_pages, __import__("tillwork.sources.pages", fromlist=["x"]).CHANGE_LOG_ENTRY, dim))
+    return flat, lines
+
+
+@register("daily_pipeline", None)
+def q_daily_pipeline(spark, sf_dir):
+    from tillwork.plans.pipeline import JobConfig, run_stages
+
+    flat, lines = daily_job_inputs(spark, sf_dir)
+    out = run_stages(flat, lines, JobConfig())
+    return out["staff_kpi"].withColumn("order_value", F.round("order_value", 2))

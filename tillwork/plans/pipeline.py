@@ -101,8 +101,10 @@ def invoice_items(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     df = nested.mark_children(df, F.col("__is_child"), "item_name",
                               null_text="nan" if cfg.semantics == "reference" else None)
     df = df.withColumn("tran_id", F.coalesce("tran_id", "id"))
-    extra = N.extract_fields("extra_data", {"peo_count": ("int", 0), "Membership_Type_Name": ("string", ""),
-                                            "customer_name": ("string", ""), "customer_phone": ("string", "")})
+    df = N.with_dict_fields(df, "extra_data", {"peo_count": ("int", 0), "Membership_Type_Name": ("string", ""),
+                                               "customer_name": ("string", ""), "customer_phone": ("string", "")},
+                            names={k: f"__x_{k}" for k in ("peo_count", "Membership_Type_Name", "customer_name",
+                                                           "customer_phone")})
     df = df.select(
         F.struct(F.col("store_ord"), F.col("page_no"), F.col("entry_pos"), F.col("line_pos"),
                  F.col("topping_pos")).alias("ord"),
@@ -113,10 +115,10 @@ def invoice_items(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
         S.time_of_day("start_hour", "start_minute").alias("time_in"),
         S.time_of_day("end_hour", "end_minute").alias("time_out"),
         "table_name", F.col("item_name").alias("item"), F.col("quantity").alias("qty"),
-        F.col("price_org").alias("unit_price"), extra["peo_count"].alias("guests"),
+        F.col("price_org").alias("unit_price"), F.col("__x_peo_count").alias("guests"),
         F.col("total_amount").alias("bill_total"), F.col("amount_discount_detail").alias("discount"),
-        extra["Membership_Type_Name"].alias("membership"), extra["customer_name"].alias("customer"),
-        extra["customer_phone"].alias("phone"),
+        F.col("__x_Membership_Type_Name").alias("membership"), F.col("__x_customer_name").alias("customer"),
+        F.col("__x_customer_phone").alias("phone"),
     )
     df = df.withColumn("customer_type", S.classify_customer("customer", "phone", "membership"))
     fill_cols = [c for c in INVOICE_ITEM_LAYOUT if c not in ("membership", "customer", "phone", "invoice_no")]
@@ -332,6 +334,11 @@ def daily_job(spark: SparkSession, paths: LandedPaths, store_map, cfg: JobConfig
     flat = flatten_change_log(entries)
     headers = read_invoices(spark, paths.invoices, dim)
     lines = attach_details(headers, read_details(spark, paths.details))
+    return run_stages(flat, lines, cfg)
+
+
+def run_stages(flat: DataFrame, lines: DataFrame, cfg: JobConfig = JobConfig()) -> dict[str, DataFrame]:
+    """X1–X8 from a flattened change log (S2) and invoice lines."""
     items = invoice_items(lines, cfg)
     log = order_log_items(flat, cfg)
     g1 = restructured(log, cfg)
