@@ -79,3 +79,13 @@ def test_merge_and_split_credit_first_employee(spark, landed):
         ("ND", "Bánh", 1, "Lan", 20000.0),
         ("ND", "Trà", 2, "Lan", 60000.0),
     ]
+
+
+def test_intended_semantics_same_credit_without_double_counting(spark, landed):
+    out = daily_job(spark, landed, {"u-a": "Cửa hàng A"}, JobConfig(semantics="intended"))
+    sales = sorted((r["invoice_no"], r["item"], r["qty"], r["employee"]) for r in out["sales"].collect())
+    assert sales == [("NB", "Cà phê", 1, "Minh"), ("NB", "Trà", 2, "Lan"), ("NC", "Trà", 1, "Lan"),
+                     ("ND", "Bánh", 1, "Lan"), ("ND", "Trà", 2, "Lan")]
+    g1 = out["group1"]
+    # edits consumed by the split inventory are not counted a second time
+    assert g1.filter("invoice_id = 'HDC0000001' and item = 'Trà' and qty = 3").count() == 0

@@ -225,8 +225,11 @@ def restructured(log: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     rest = g.filter(~is_split)
     moved = apply_splits(g, cfg)
     if cfg.semantics != "reference":
+        # Edits consumed by the split inventory are not counted again, and merge
+        # transfer rows are not netted: the merge is already carried by the id
+        # rewrite (with id-on-id deduction their negatives would cancel real stock).
         consumed = P.is_one_of("log_type", splits.ADD_TYPES) & (S.to_number("qty", 0.0) > 0)
-        rest = rest.filter(~consumed)
+        rest = rest.filter(~consumed & ~P.contains_text("log_type", "SALE_MERGE_ORDER"))
     rest = rest.withColumn("qty", S.to_number("qty", 0.0))
     # concat order: the untouched rows, then the rows T1 emitted
     rest = rest.withColumn("ord", F.struct(F.lit(0).alias("src"), F.col("ord").alias("o")))
