@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import fingerprints, minhash, substring_dedup
+from tillwork.llm import fingerprints, minhash, secrets_scan, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+    base = F.filter("spans", lambda s: s.kind.isin([r.kind for r in secrets_scan.BASE_RULES]))
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+                        F.sha2(secrets_scan.joined(base), 256).alias("base_sha256"), secrets_scan.joined(F.col("spans")).alias("spans"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
@@ -26,6 +34,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op6_secret_scans": op6_secret_scans,
     "op7_substring_dedup": op7_substring_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
