@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import fingerprints, minhash, secrets_scan, sharding, substring_dedup
+from tillwork.llm import decontamination, fingerprints, minhash, secrets_scan, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"), "removed")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.flag_contaminated(docs, _table(spark, sf_dir, "benchmark")).drop("text")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8)
 
@@ -40,6 +45,7 @@ QUERIES = {
     "op4_document_fingerprints": op4_document_fingerprints,
     "op6_secret_scans": op6_secret_scans,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_sharding": op10_sharding,
 }
