@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import decontamination, fingerprints, minhash, secrets_scan, sharding, substring_dedup
+from tillwork.llm import decontamination, fingerprints, minhash, secrets_scan, sharding, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,12 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), toxicity.label_grade(), toxicity.LABEL_GRADES, toxicity.LABEL_TOXIC)
+    return toxicity.score_toxicity(docs, model).drop("text")
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
@@ -42,6 +48,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
     "op6_secret_scans": op6_secret_scans,
     "op7_substring_dedup": op7_substring_dedup,
