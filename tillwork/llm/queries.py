@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import decontamination, fingerprints, minhash, secrets_scan, sharding, substring_dedup, toxicity
+from tillwork.llm import decontamination, fingerprints, licenses, minhash, secrets_scan, sharding, substring_dedup, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentences", ",").alias("sentences"), F.array_join("licenses", ",").alias("licenses"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"), toxicity.label_grade(), toxicity.LABEL_GRADES, toxicity.LABEL_TOXIC)
@@ -25,6 +30,12 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    found = url_filters.filter_urls(pages, url_filters.rule_labels(pages))
+    return found.select("page_id", "host", "path", "rule", "verdict", "block_probability")
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets_scan.scan_secrets(_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
@@ -48,8 +59,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_license_scans": op2_license_scans,
     "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
+    "op5_url_filters": op5_url_filters,
     "op6_secret_scans": op6_secret_scans,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
@@ -57,4 +70,6 @@ QUERIES = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scans": licenses.duckdb_sql("documents"),
+}
