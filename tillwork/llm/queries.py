@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import decontamination, fingerprints, licenses, minhash, secrets_scan, sharding, substring_dedup, toxicity, url_filters
+from tillwork.llm import decontamination, fingerprints, licenses, minhash, secrets_scan, sentencepiece_fst, sharding, substring_dedup, toxicity, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,15 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+#: the model file that is read on the driver; a fixed place of the machines this runs on
+TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_fst.encode_texts(docs, TOKENIZER).drop("text")
+
+
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.array_join("sentences", ",").alias("sentences"), F.array_join("licenses", ",").alias("licenses"))
@@ -59,6 +68,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scans": op2_license_scans,
     "op3_toxicity": op3_toxicity,
     "op4_document_fingerprints": op4_document_fingerprints,
