@@ -7,8 +7,10 @@ With 64 bands of 6 rows a pair at the threshold 0.8 shares no bucket with probab
 member that shares most buckets with others, so a text that many copies derive from.
 Most buckets then lie in one component.  In a bucket that still spans components, the
 pairs between them are compared too: its members are dealt into blocks, each pair of
-blocks is one task group, and a pair goes on to the exact check only if the two
-signatures share at least two bands.  No list of all pairs is made, and none is capped.
+blocks is one task group, and a pair goes on to the exact check, once, only if the two
+signatures share at least two bands and the bit sets of their shingles allow the
+threshold: each differing bit proves a shingle that only one of the two has, so no pair at
+the threshold fails this.  No list of all pairs is made, and none is capped.
 """
 
 from __future__ import annotations
@@ -17,14 +19,16 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from tillwork.llm.components import connected_components
-from tillwork.llm.spark_util import materialise, shuffle_partitions
+from tillwork.llm.spark_util import materialise
 from tillwork.llm.words import STEP, U, Words, mix, powers, row_chunks, shingles, utf8
 
 BANDS, ROWS = 64, 6
 #: members of a block in a bucket that spans components
-BLOCK = 256
+BLOCK = 4096
 #: at the threshold a pair shares 17 of 64 bands on average, under two with probability 1e-7
 LEAST_BANDS = 2
+#: bits of a shingle set's occupancy map
+MAP_BITS = 4096
 
 
 def one_permutation(doc: np.ndarray, value: np.ndarray, n_docs: int, bins: int) -> np.ndarray:
@@ -88,7 +92,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, bands: i
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(doc_id, shingles): the full set as 64-bit hashes."""
+    """(doc_id, shingles, bits): the full set as 64-bit hashes, and its occupancy map."""
 
     def run(batches):
         import pyarrow as pa
@@ -98,12 +102,16 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, width: int) -> Dat
             for lo, hi in row_chunks(off):
                 doc, value = shingles(Words(raw, off[lo : hi + 1], lower=True), width)
                 ends = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=hi - lo)))).astype(np.int32)
+                on = np.zeros((hi - lo, MAP_BITS), bool)
+                on[doc, (mix(value ^ STEP) % U(MAP_BITS)).astype(np.int64)] = True
+                bits = [row.tobytes() for row in np.packbits(on, axis=1)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(value.view(np.int64)))],
-                    ["doc_id", "shingles"])
+                    [batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(ends), pa.array(value.view(np.int64))),
+                     pa.array(bits, pa.binary())],
+                    ["doc_id", "shingles", "bits"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, shingles array<long>")
+        run, "doc_id long, shingles array<long>, bits binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -122,9 +130,9 @@ def star_edges(members: DataFrame) -> DataFrame:
             .where("node <> v").select(F.greatest("node", "v").alias("u"), F.least("node", "v").alias("v")).distinct())
 
 
-def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components inside the buckets that still span some, compared block
-    against block on their band signatures."""
+    against block on their bands and occupancy maps; a pair comes out of its first common bucket."""
     tagged = (members.select("bucket", "node").join(labels, "node", "left")
               .withColumn("component", F.coalesce("component", "node")))
     open_ = (tagged.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
@@ -132,25 +140,30 @@ def cross_pairs(members: DataFrame, nodes: DataFrame, labels: DataFrame) -> Data
     dealt = (tagged.join(open_, "bucket").join(nodes, "node")
              .withColumn("mine", F.pmod(F.xxhash64("node", "bucket"), F.col("k")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-             .select("bucket", "node", "component", "bands", "mine",
+             .select("bucket", "node", "component", "bands", "bits", "n_shingles", "mine",
                      F.least("mine", "other").alias("x"), F.greatest("mine", "other").alias("y")))
 
     def compare(_, table):
         import pyarrow as pa
 
-        node, comp = table["node"].to_numpy(), table["component"].to_numpy()
+        node, comp, size, bucket = (table[c].to_numpy() for c in ("node", "component", "n_shingles", "bucket"))
         mine, x, y = (table[c].to_numpy() for c in ("mine", "x", "y"))
         bands = np.asarray(table["bands"].combine_chunks().flatten()).reshape(len(node), -1)
+        bits = np.frombuffer(b"".join(table["bits"].to_pylist()), U).reshape(len(node), -1)
         left, right = np.flatnonzero(mine == x[0]), np.flatnonzero(mine == y[0])
-        us, vs = [], []
+        us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in left:
             to = right[(comp[right] != comp[i]) & ((node[right] > node[i]) | (x[0] != y[0]))]
-            to = to[(bands[to] == bands[i]).sum(axis=1) >= LEAST_BANDS]
+            apart = np.bitwise_count(bits[to] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            to = to[apart * (100 + percent) <= (size[to] + size[i]) * (100 - percent)]
+            same = bands[to] == bands[i]
+            first = bands[i][same.argmax(axis=1)] == bucket[0]
+            to = to[first & (same.sum(axis=1) >= LEAST_BANDS)]
             us.append(np.maximum(node[to], node[i]))
             vs.append(np.minimum(node[to], node[i]))
-        return pa.table({"u": np.concatenate(us) if us else np.empty(0, np.int64), "v": np.concatenate(vs) if vs else np.empty(0, np.int64)})
+        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
-    return dealt.groupBy("bucket", "x", "y").applyInArrow(compare, "u long, v long").distinct()
+    return dealt.groupBy("bucket", "x", "y").applyInArrow(compare, "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -169,7 +182,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = sig.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("k1", "k2").agg(F.min("doc_id").alias("node"))
     groups = materialise(groups)
     nodes = (sig.where("n_shingles > 0").join(groups.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-             .select(F.col("doc_id").alias("node"), "bands"))
+             .select(F.col("doc_id").alias("node"), "bands", "n_shingles"))
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
     full = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     shared = placed.join(full.select("bucket", "n"), "bucket").distinct()
@@ -178,10 +191,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = shared.join(company, "node").select("bucket", "node", "company")
     ids = company.select(F.col("node").alias("doc_id"))
     sets = materialise(shingle_sets(docs.join(ids, "doc_id", "left_semi"), "doc_id", "text", width)
-                       .groupBy("doc_id").agg(F.first("shingles").alias("shingles")))
+                       .groupBy("doc_id").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")))
     links = materialise(confirmed(star_edges(members), sets, percent))
     labels = connected_components(links).select("node", "component")
-    more = confirmed(cross_pairs(members, nodes.dropDuplicates(["node"]), labels), sets, percent)
+    known = nodes.dropDuplicates(["node"]).join(sets.select(F.col("doc_id").alias("node"), "bits"), "node")
+    more = confirmed(cross_pairs(members, known, labels, percent), sets, percent)
     final = connected_components(links.union(more))
     of_key = groups.join(final, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "k1", "k2").join(of_key, ["k1", "k2"], "left")
