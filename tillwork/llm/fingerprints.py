@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tillwork.llm.words import STEP, U, Words, mix, row_chunks, utf8
+from tillwork.llm.words import CHUNK_BYTES, STEP, U, Words, mix, row_chunks, utf8
 
 SAMPLES = 64
 PART_BYTES = 8_000_000
@@ -26,8 +26,9 @@ LEAST_ID = -(1 << 63)
 
 
 def _uniforms(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = (x & U(0xFFFFFFFF)).astype(np.float64)
-    return ((x >> U(32)).astype(np.float64) + 0.5) * 2.0**-32, (low + 0.5) * 2.0**-32
+    """Two numbers above 0 and at most 1 from the halves of 64 bits."""
+    scale = np.float32(2.0**-32)
+    return ((x >> U(32)).astype(np.float32) + np.float32(0.5)) * scale, (x.astype(np.uint32).astype(np.float32) + np.float32(0.5)) * scale
 
 
 def weighted_samples(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n_docs: int, samples: int = SAMPLES) -> np.ndarray:
@@ -37,19 +38,20 @@ def weighted_samples(doc: np.ndarray, term: np.ndarray, weight: np.ndarray, n_do
         return out
     # equal (term, weight) draw alike in every text, so each is drawn once
     kind, first, of = np.unique(mix(term + weight.astype(U) * STEP), return_index=True, return_inverse=True)
-    term, log_weight = term[first], np.log(weight[first].astype(np.float64))
+    term, log_weight = term[first], np.log(weight[first]).astype(np.float32)
     present, begin = np.unique(doc, return_index=True)
+    tiny = np.float32(1e-7)
     for k in range(samples):
         x = mix(term ^ mix(np.full(1, k + 1, U)))
+        y = mix(x + STEP)
         u1, u2 = _uniforms(x)
-        u3, u4 = _uniforms(mix(x + STEP))
-        beta, _ = _uniforms(mix(x + STEP + STEP))
-        r, c = -np.log(u1 * u2), -np.log(u3 * u4)
+        u3, u4 = _uniforms(y)
+        beta, _ = _uniforms((x ^ (y >> U(7))) * STEP)
+        r, c = np.maximum(-np.log(u1 * u2), tiny), np.maximum(-np.log(u3 * u4), tiny)
         t = np.floor(log_weight / r + beta)
-        log_a = (np.log(c) - r * (t - beta) - r).astype(np.float32)
-        bits = log_a.view(np.uint32)
-        rising = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))  # unsigned order is float order
-        name = mix(x + t.astype(np.int64).view(U) * STEP) >> U(32)
+        bits = (np.log(c) - r * (t - beta) - r).view(np.uint32)
+        rising = np.where(bits >> np.uint32(31), ~bits, bits | np.uint32(1 << 31))  # unsigned order is float order
+        name = ((y ^ t.astype(np.int64).view(U)) * STEP) >> U(32)
         drawn = (rising.astype(U) << U(32)) | name
         out[present, k] = np.minimum.reduceat(drawn[of], begin).astype(np.uint16)
     return out
@@ -120,9 +122,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         held = None
         for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+            table = pa.Table.from_batches([batch] if held is None else [held, batch], batch.schema).combine_chunks()
             off = utf8(table["text"].combine_chunks())[1] if table.num_rows else np.zeros(1, np.int64)
-            for lo, hi in row_chunks(off[:-1], limit=1_000_000) if table.num_rows > 1 else ():
+            for lo, hi in row_chunks(off[:-1], limit=CHUNK_BYTES) if table.num_rows > 1 else ():
                 part = table.slice(lo, hi - lo + 1)  # with the row after
                 text = [x or "" for x in part["text"].to_pylist()]
                 mine = np.flatnonzero(np.array(part["ghost"].to_pylist()[:-1]) == 0)
@@ -137,7 +139,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     pa.array(hex_rows(own), pa.string()), pa.array(hex_rows(changed), pa.string()),
                     pa.array(likeness(own, some_own, changed, some_changed)), pa.array(likeness(own, some_own, after, some_after)),
                 ], ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-            held = pa.RecordBatch.from_arrays([c.combine_chunks() for c in table.slice(table.num_rows - 1).columns], table.schema.names) if table.num_rows else None
+            held = table.slice(table.num_rows - 1).to_batches()[0] if table.num_rows else None
 
     return in_id_order(docs).mapInArrow(
         run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
