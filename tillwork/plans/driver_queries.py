@@ -813,7 +813,44 @@ def split_inventory_input(spark, sf_dir):
     )
 
 
-@register("split_inventory", None)
+# The oracle is the closed form: an edit's layer lies on the stock b below it and keeps
+# min(its quantity, least later stay - b); each event takes what it makes that smaller.
+SPLIT_SQL = """
+WITH inp AS (
+  SELECT event_id, ts, 'F' || user_id AS family, event_type AS item,
+         CASE WHEN event_id % 10 = 0 OR event_id % 7 = 0 THEN -1 ELSE 1 END * CAST(CAST(trunc(value) AS BIGINT) + 1 AS DOUBLE) AS qty,
+         CASE WHEN event_id % 10 = 0 THEN 'C' || user_id || '-' || (event_id % 3) END AS target,
+         'I' || user_id AS invoice_id, 'N' || user_id AS invoice_no
+  FROM events),
+calls AS (SELECT family, ts, target, min(event_id) AS pos FROM inp WHERE target IS NOT NULL AND family IS NOT NULL GROUP BY ALL),
+listed AS (SELECT family, ts, target, item, abs(sum(qty)) AS stays FROM inp WHERE target IS NOT NULL GROUP BY ALL),
+adds AS (SELECT * FROM inp WHERE target IS NULL AND qty > 0 AND family IS NOT NULL),
+things AS (SELECT DISTINCT family, item FROM adds),
+steps AS (
+  SELECT family, item, ts, event_id AS pos, qty AS q, NULL AS stays, NULL AS target FROM adds
+  UNION ALL
+  SELECT c.family, t.item, c.ts, c.pos, 0, coalesce(l.stays, 0), c.target
+  FROM calls c JOIN things t USING (family)
+  LEFT JOIN listed l ON l.family = c.family AND l.ts IS NOT DISTINCT FROM c.ts AND l.target = c.target AND l.item IS NOT DISTINCT FROM t.item),
+running AS (
+  SELECT *, row_number() OVER o AS rn, sum(q) OVER o AS c FROM steps
+  WINDOW o AS (PARTITION BY family, item ORDER BY ts NULLS LAST, pos ROWS UNBOUNDED PRECEDING)),
+heights AS (
+  SELECT *, c - greatest(0, coalesce(max(c - stays) OVER (PARTITION BY family, item ORDER BY rn ROWS UNBOUNDED PRECEDING), 0)) AS height FROM running),
+layers AS (SELECT family, item, pos AS event_id, rn, q, height - q AS b FROM heights WHERE stays IS NULL),
+later AS (
+  SELECT l.event_id, l.q, l.b, s.target, s.rn,
+         least(l.q, greatest(0, min(s.stays) OVER (PARTITION BY l.event_id ORDER BY s.rn ROWS UNBOUNDED PRECEDING) - l.b)) AS keeps
+  FROM layers l JOIN heights s ON s.family = l.family AND s.item IS NOT DISTINCT FROM l.item AND s.rn > l.rn AND s.stays IS NOT NULL),
+moved AS (SELECT event_id, target, coalesce(lag(keeps) OVER (PARTITION BY event_id ORDER BY rn), q) - keeps AS qty FROM later),
+kept AS (SELECT l.event_id, NULL AS target, coalesce(min(t.keeps), min(l.q)) AS qty FROM layers l LEFT JOIN later t USING (event_id) GROUP BY l.event_id)
+SELECT i.event_id, i.family, i.item, coalesce(p.target, i.invoice_id) AS invoice_id,
+       CASE WHEN p.target IS NULL THEN i.invoice_no ELSE 'N' || p.target END AS invoice_no, p.qty
+FROM (SELECT * FROM moved UNION ALL SELECT * FROM kept) p JOIN inp i USING (event_id) WHERE p.qty > 0
+"""
+
+
+@register("split_inventory", SPLIT_SQL)
 def q_split_inventory(spark, sf_dir):
     from tillwork.operators.splits import split_inventory
 
