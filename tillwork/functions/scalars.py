@@ -98,12 +98,15 @@ def calendar_parts(ts) -> dict[str, Column]:
 
 # C5 / C6 --------------------------------------------------------------------
 def to_number(col, default: float | None = 0.0, truncate: bool = False) -> Column:
-    """C5 – bad or missing → ``default``; ``truncate`` → whole number (toward 0)."""
-    c = to_col(col).cast("string").try_cast("double")
-    if default is not None:
-        c = F.coalesce(c, F.lit(float(default)))
+    """C5 – bad or missing → ``default``; ``truncate`` → whole number (toward 0).
+    Only a plain decimal number counts: ``nan``, ``inf`` and suffixed forms such as
+    ``1d`` are bad, and a truncated bad value is the default too."""
+    text = strip(to_col(col).cast("string"))
+    c = F.when(text.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"), text.try_cast("double"))
     if truncate:
         c = c.try_cast("bigint")
+    if default is not None:
+        c = F.coalesce(c, F.lit(float(default)).cast("bigint" if truncate else "double"))
     return c
 
 

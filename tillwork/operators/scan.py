@@ -22,12 +22,10 @@ Step 3 works on one row per segment, so a hot key costs #segments rows
 there, and a global scan costs #buckets rows; AQE broadcasts the segment
 table when its measured size allows.
 
-Keyed scans route rows by key size: a map-side-combined count per key
-finds the keys above ``hot_threshold`` rows; only those take the two-phase
-path, every other key the one-shuffle direct window.  The hot-key list is
-broadcast — it has at most ``rows / hot_threshold`` entries, a bound that
-holds by construction.  Scans without keys (global order) always take the
-two-phase path.
+There is one form for a given call, whatever the key sizes, so results do
+not depend on how large a key is.  Rows whose result is null by rule (a null
+key under ``null_keys="null"``) are dealt out by a hash of their order, not
+gathered under one key.
 """
 
 from __future__ import annotations
@@ -41,11 +39,6 @@ from tillwork.functions.util import to_col
 
 _KINDS = ("last", "count", "sum")
 
-# A key with more rows than this is "hot": its scan is split by bucket.
-# The hot-key list then has at most rows / HOT_KEY_ROWS entries, which bounds
-# the broadcast used to route rows.
-HOT_KEY_ROWS = 2_000_000
-
 
 def _names(cols) -> list[str]:
     if cols is None:
@@ -74,8 +67,7 @@ def _local_expr(kind: str, src: str | None, w) -> Column:
 
 
 def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), order=("ord",),
-         bucket=None, descending: bool = False, null_keys: str = "group",
-         hot_threshold: int | None = HOT_KEY_ROWS) -> DataFrame:
+         bucket=None, descending: bool = False, null_keys: str = "group") -> DataFrame:
     """Add one column per ``(out, kind, src)`` spec.
 
     ``kind``: ``last`` – last non-null ``src`` up to and including the row;
@@ -92,16 +84,22 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
     if not keys and not buckets:
         raise ValueError("an ordered scan without keys needs a bucket column (no single-partition windows)")
 
-    if keys and buckets and hot_threshold is not None:
-        return _split_hot(df, specs, keys, order, buckets, descending, null_keys, hot_threshold)
+    if null_keys == "null" and keys:
+        has_null = F.lit(False)
+        for k in keys:
+            has_null = has_null | to_col(k).isNull()
+        spread = F.when(has_null, F.xxhash64(*[to_col(c) for c in _names(order)])).otherwise(F.lit(0))
+        out = scan(df.withColumn("__tw_spread", spread), specs, [*keys, "__tw_spread"], order, bucket, descending)
+        return out.withColumns({o: F.when(~has_null, F.col(o)) for o, _, _ in specs}).drop("__tw_spread")
+    if null_keys not in ("group", "null"):
+        raise ValueError(f"unknown null_keys rule {null_keys!r}")
 
     order_cols = _order_cols(order, descending)
     frame = (Window.unboundedPreceding, Window.currentRow)
 
     if not buckets:
         w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(*frame)
-        out = df.withColumns({o: _local_expr(k, s, w) for o, k, s in specs})
-        return _null_key_rule(out, keys, [o for o, _, _ in specs], null_keys)
+        return df.withColumns({o: _local_expr(k, s, w) for o, k, s in specs})
 
     bnames = [f"__tw_b{i}" for i in range(len(buckets))]
     seg = keys + bnames
@@ -133,33 +131,4 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
     for o, k, _ in specs:
         local, c = F.col(local_names[o]), F.col(f"__tw_c_{o}")
         combined[o] = F.coalesce(local, c) if k == "last" else local + F.coalesce(c, F.lit(0))
-    out = joined.withColumns(combined).drop(*bnames, *local_names.values(), *carry.keys())
-    return _null_key_rule(out, keys, [o for o, _, _ in specs], null_keys)
-
-
-def _split_hot(df, specs, keys, order, buckets, descending, null_keys, hot_threshold):
-    """Route keys with more than ``hot_threshold`` rows to the bucketed
-    two-phase scan and all others to the direct window (one shuffle)."""
-    hk = [f"__tw_h{i}" for i in range(len(keys))]
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tw_n"))
-    hot = counts.filter(F.col("__tw_n") > F.lit(hot_threshold)).select(*[F.col(k).alias(h) for k, h in zip(keys, hk)])
-    hot = F.broadcast(hot)  # at most rows / hot_threshold keys
-    cond = [to_col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, hk)]
-    cold_rows = df.join(hot, cond, "left_anti")
-    hot_rows = df.join(hot, cond, "left_semi")
-    bnames = [f"__tw_bk{i}" for i in range(len(buckets))]
-    hot_rows = hot_rows.withColumns({n: to_col(b) for n, b in zip(bnames, buckets)})
-    cold = scan(cold_rows, specs, keys, order, None, descending, null_keys, None)
-    warm = scan(hot_rows, specs, keys, order, bnames, descending, null_keys, None).drop(*bnames)
-    return cold.unionByName(warm)
-
-
-def _null_key_rule(df: DataFrame, keys: list, outs: list[str], null_keys: str) -> DataFrame:
-    if null_keys == "group" or not keys:
-        return df
-    if null_keys != "null":
-        raise ValueError(f"unknown null_keys rule {null_keys!r}")
-    has_null = F.lit(False)
-    for k in keys:
-        has_null = has_null | to_col(k).isNull()
-    return df.withColumns({o: F.when(~has_null, F.col(o)) for o in outs})
+    return joined.withColumns(combined).drop(*bnames, *local_names.values(), *carry.keys())

@@ -60,7 +60,6 @@ class JobConfig:
     semantics: str = "reference"
     pages_per_bucket: int = 64
     price_rules: list = field(default_factory=lambda: list(S.TOPPING_PRICES))
-    max_link_hops: int = 256
     # Cut lineage after each stage: reliable checkpoints in the session's
     # spark.checkpoint.dir (shared storage on a cluster).
     checkpoint_stages: bool = True
@@ -90,9 +89,9 @@ def nulls_last_key(*cols) -> list[Column]:
 
 
 def ingest_bucket(cfg: JobConfig) -> Column:
-    """Coarse, order-monotone bucket of the ingestion key (store, page group)
-    for the global fills."""
-    return F.struct(F.col("ord.store_ord"), F.floor(F.col("ord.page_no") / F.lit(cfg.pages_per_bucket)))
+    """Coarse, order-monotone bucket of the ingestion key (date, store, page
+    group) for the global fills."""
+    return F.struct(F.col("ord.report_date"), F.col("ord.store_ord"), F.floor(F.col("ord.page_no") / F.lit(cfg.pages_per_bucket)))
 
 
 # X1 ----------------------------------------------------------------------------
@@ -110,7 +109,7 @@ def invoice_items(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
                             names={k: f"__x_{k}" for k in ("peo_count", "Membership_Type_Name", "customer_name",
                                                            "customer_phone")})
     df = df.select(
-        F.struct(F.col("store_ord"), F.col("page_no"), F.col("entry_pos"), F.col("line_pos"),
+        F.struct(F.col("report_date"), F.col("store_ord"), F.col("page_no"), F.col("entry_pos"), F.col("line_pos"),
                  F.col("topping_pos")).alias("ord"),
         F.col("store_name").alias("store"),
         F.coalesce("origin_tran_id", "tran_id").alias("invoice_id"),
@@ -143,8 +142,9 @@ def order_log_items(flat: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     df = nested.overlay_children(df, "topping", overwrite="all")
     df = nested.mark_children(df, F.col("__is_child"), "item_name",
                               null_text="nan" if cfg.semantics == "reference" else None)
-    df = df.withColumn("ord", F.struct(F.col("store_ord"), F.col("page_no"), F.col("entry_pos"),
-                                       F.coalesce(F.col("item_pos"), F.lit(0)).alias("item_pos"), F.col("topping_pos")))
+    df = df.withColumn("ord", F.struct(F.col("report_date"), F.col("store_ord"), F.col("page_no"), F.col("entry_pos"),
+                                       F.coalesce(F.col("item_pos"), F.lit(0)).alias("item_pos"), F.col("topping_pos"),
+                                       F.lit(0).cast("long").alias("part")))
     df = df.withColumn("note", N.extract_field("extra_data", "message_modify_table", ""))
     # The id inside change_data; S2 already parsed the dict form, the full
     # parse (list form, Python literals) runs only where that gave nothing.
@@ -179,8 +179,7 @@ def apply_merges(g: DataFrame, cfg: JobConfig) -> DataFrame:
     g = stage(g.filter(~P.contains_text("note", "[Gộp đơn]", ignore_case=False)), cfg)
     edges = keys.last_value_map(g, "invoice_id", "merge_to", order=["ord"], out_key="src", out_value="dst")
     numbers = keys.keep_first(g.select("invoice_id", "invoice_no", "ord"), "invoice_id", order=["ord"])
-    resolved = links.resolve_links(g.select(F.col("invoice_id").alias("id")), edges, cycle="stop",
-                                   max_hops=cfg.max_link_hops)
+    resolved = links.resolve_links(g.select(F.col("invoice_id").alias("id")), edges, cycle="stop")
     g = links.rewrite_ids(g, resolved, numbers.select(F.col("invoice_id").alias("id"), F.col("invoice_no").alias("no")),
                           "invoice_id", "invoice_no", when_missing="null" if cfg.semantics == "reference" else "keep")
     return stage(g.drop("merge_to"), cfg)
@@ -197,7 +196,7 @@ def apply_splits(g: DataFrame, cfg: JobConfig) -> DataFrame:
     parents = keys.last_value_map(pairs, "split_to", "invoice_id", order=["ord"], out_key="src", out_value="dst")
     no_map = keys.last_value_map(t, "invoice_id", "invoice_no", order=["ord"], out_key="id", out_value="no")
     roots = links.resolve_links(t.select(F.col("invoice_id").alias("id")), parents, cycle="reenter",
-                                max_hops=cfg.max_link_hops, out="family")
+                                out="family")
     t = t.join(roots.select(F.col("id").alias("__rid"), "family"), F.col("invoice_id") == F.col("__rid"), "left").drop("__rid")
     t = joins.lookup(t, "split_to", no_map, "id", "no", out="split_no")
     t = rows.drop_notes(t, "note", "hóa đơn được tạo mới")
@@ -211,8 +210,11 @@ def apply_splits(g: DataFrame, cfg: JobConfig) -> DataFrame:
                                                         "log_type", "note", "item", "split_to", "split_no")})
     t = stage(t, cfg)
     out = splits.split_inventory(t, "family", "ts", "item", "qty", "log_type", "split_to", "split_no",
-                                 "invoice_id", "invoice_no", ord_col="ord", bucket=lambda c: F.substring(c, 1, 10))
-    return stage(out.withColumn("ord", F.col("__gord")).drop("split_to", "split_no", "family", "__gord"), cfg)
+                                 "invoice_id", "invoice_no", ord_col="ord", bucket=lambda c: F.substring(c, 1, 10),
+                                 part_col="__part")
+    # the portions of one edit keep its place, each with a key of its own
+    out = out.withColumn("ord", F.col("__gord").withField("part", F.col("__part")))
+    return stage(out.drop("split_to", "split_no", "family", "__gord", "__part"), cfg)
 
 
 def restructured(log: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:

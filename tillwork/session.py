@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import SparkSession
 
@@ -36,8 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none is ``fallback`` — or, on a local master
-    only, a fresh folder under ``$TILLWORK_SCRATCH``/the system temp dir —
+    Only when the session names none is ``fallback`` — or, on a single-process local
+    master only, a fresh folder under ``$TILLWORK_SCRATCH``/the system temp dir —
     set.  On a cluster without the setting this raises: a machine-local
     folder would not survive the loss of the executor that wrote it.
     """
@@ -47,7 +48,7 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if fallback is None and not sc.master.startswith("local"):
+        if fallback is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS/S3/…) for checkpoints")
         if fallback is None:
             import tempfile

@@ -13,22 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 def write_dated(df: DataFrame, path: str, date_col: str = "report_date", fmt: str = "parquet",
                 sort_within: list[str] | None = None) -> None:
     """Write ``df`` under ``path/<date_col>=…``; replaces only those dates."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # No repartition by date: one busy day would become one writer task.
-        # Every task writes its own file per date it holds.
-        out = df
-        if sort_within:
-            out = out.sortWithinPartitions(*sort_within)
-        writer = out.write.mode("overwrite").partitionBy(date_col)
-        if fmt == "csv":
-            writer.option("header", "true").csv(path)
-        else:
-            writer.format(fmt).save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # No repartition by date: one busy day would become one writer task.
+    # Every task writes its own file per date it holds.
+    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_col)
+    if fmt == "csv":
+        writer.option("header", "true").csv(path)
+    else:
+        writer.format(fmt).save(path)
 
 
 def read_dated(spark: SparkSession, path: str, dates: list[str] | None = None, fmt: str = "parquet",
