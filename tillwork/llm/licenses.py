@@ -15,7 +15,7 @@ AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 UNKNOWN = "unknown"
 
 # Licence words, sentence boundaries, known sentences and rules, the first match counting.
-LICENSE_WORD = r"(?i)licen[cs]|copyright|redistribut|warrant|permission|public domain|gpl|creative commons|cc by|cc-by|spdx"
+LICENSE_WORD = r"(?i)licen[cs]|copyright|rights reserved|redistribut|warrant|permission|endorse|public domain|gpl|creative commons|cc by|cc-by|cc0|spdx"
 BOUNDARY = r"[.!?;]+[ \t\r\n]+|[\r\n]+"
 SENTENCES = (
     ("mitPermission", r"permission is hereby granted free of charge to any person obtaining a copy"),
