@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -27,7 +28,7 @@ PLAIN = 4
 BROADCAST_WINDOWS = 200_000
 #: an item counts from this share of its windows, or from a run of 13 tokens
 SHARE, RUN = 0.5, 13
-MEMO = 400_000
+MEMO = 150_000
 
 # Number words and units.
 NUMBER_WORDS = frozenset("""zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen
@@ -45,6 +46,10 @@ PLAIN_KIND, NUM_KIND, UNIT_KIND, SKIP_KIND = 0, 1, 2, 3
 
 def classify(word: str) -> tuple[int, str, str, bool, bool]:
     """(kind, template token, slot value, capitalised, ends a sentence) of a word."""
+    if word.isalpha():  # most words: nothing to strip, no end of a sentence
+        low = word if word.islower() else word.lower()
+        if low not in NUMBER_WORDS and low not in UNITS:
+            return PLAIN_KIND, low, low, low is not word and word[0].isupper() and word[1:].islower(), False
     ends = word.rstrip("\"')]”’").endswith((".", "!", "?", ":"))
     core = OUTER.sub("", word)
     low = core.lower()
@@ -96,7 +101,7 @@ class Templates(Words):
         if len(vocabulary) > MEMO:
             vocabulary.forget()
         split = [t.split() for t in texts]
-        at = np.fromiter((vocabulary[w] for ws in split for w in ws), np.int64)
+        at = np.fromiter(map(vocabulary.__getitem__, chain.from_iterable(split)), np.int64)
         code, kind, capital, ends = (column[at] for column in vocabulary.columns())
         count = np.array([len(ws) for ws in split], np.int64)
         first = np.concatenate(([0], np.cumsum(count)))

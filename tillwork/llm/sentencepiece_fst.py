@@ -142,7 +142,7 @@ class Transducers:
 
     def stays(self, left: int, right: int) -> bool:
         """Arc of the neighbour transducer: the boundary survives the merging of both."""
-        if len(self.pairs) > 4 * MEMO:
+        if len(self.pairs) > 2 * MEMO:
             self.pairs.clear()
         a, b = self.spec.pieces[left], self.spec.pieces[right]
         self.pairs[left << 32 | right] = found = self.merged(a + b) == [a, b]
