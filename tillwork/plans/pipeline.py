@@ -38,6 +38,9 @@ LABELS = {
     "week": "Tuần", "month": "Tháng", "year": "Năm", "order_value": "Giá trị order",
 }
 
+INVOICE_LABELS = {**LABELS, "item": "Tên hàng", "qty": "Số lượng"}
+
+# The original's column orders and types.
 INVOICE_ITEM_LAYOUT = {
     "store": "string", "invoice_id": "string", "invoice_no": "string", "date": "string", "time_in": "string",
     "time_out": "string", "table_name": "string", "item": "string", "qty": "double", "unit_price": "double",
@@ -289,8 +292,8 @@ def reconcile(orders: DataFrame, items: DataFrame, cfg: JobConfig = JobConfig())
     L = log.select(*[F.col(c).alias(f"l_{c}") for c in LOG_SIDE], F.col("invoice_no").alias("l_invoice_no"),
                    F.col("ord").alias("l_ord"))
     V = inv.select(*[F.col(c).alias(f"v_{c}") for c in INV_SIDE])
-    strict = joins.match_strict(L, V, [("l_invoice_id", "v_invoice_id"), ("l_item", "v_item"), ("l_qty", "v_qty"),
-                                       ("l_occurrence", "v_occurrence")], how="right")
+    strict = stage(joins.match_strict(L, V, [("l_invoice_id", "v_invoice_id"), ("l_item", "v_item"), ("l_qty", "v_qty"),
+                                             ("l_occurrence", "v_occurrence")], how="right"), cfg)  # read three times
     matched, unmatched_inv = joins.split_matched(strict, "l_item")
     left_log = joins.unmatched(L, matched.select("v_invoice_no", "l_item", "l_qty", "v_occurrence"),
                                [("l_invoice_no", "v_invoice_no"), ("l_item", "l_item"), ("l_qty", "l_qty"),
@@ -325,9 +328,19 @@ def staff_kpi(sales: DataFrame) -> DataFrame:
     return A.kpi_sum(sales, KPI_KEYS, "order_value")
 
 
-def to_labels(df: DataFrame) -> DataFrame:
-    """P2 at the sink: internal snake_case → the display labels."""
-    return rows.rename(df, LABELS)
+def to_labels(df: DataFrame, labels: dict[str, str] = LABELS) -> DataFrame:
+    """P2 at the sink: internal snake_case → the display labels (``INVOICE_LABELS``
+    for the invoice items, whose item and quantity are called otherwise)."""
+    return rows.rename(df, labels)
+
+
+def write_outputs(result: dict[str, DataFrame], root: str) -> None:
+    """S7 for X7 and X8: priced sales and staff KPI by business date under ``root``;
+    a re-run replaces only the dates it has rows of."""
+    from tillwork.sources.sinks import write_dated
+
+    for name in ("sales", "staff_kpi"):
+        write_dated(result[name].withColumn("report_date", F.regexp_replace("date", "/", "-")), f"{root}/{name}")
 
 
 # X0 + whole job -------------------------------------------------------------------
@@ -359,5 +372,6 @@ def run_stages(flat: DataFrame, lines: DataFrame, cfg: JobConfig = JobConfig())
     g2 = edit_only(log, cfg)
     orders = net_orders(g1, g2, cfg)
     sales = priced_sales(reconcile(orders, items, cfg), cfg)
+    kpi = rows.sort_nulls_last(staff_kpi(sales), ["date", "invoice_no", "employee"], None)
     return {"invoice_items": items, "order_log": log, "group1": g1, "group2": g2, "net_orders": orders,
-            "sales": sales, "staff_kpi": staff_kpi(sales), "log_stats": log_statistics(log)}
+            "sales": sales, "staff_kpi": kpi, "log_stats": log_statistics(log)}
