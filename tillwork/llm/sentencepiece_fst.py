@@ -30,7 +30,8 @@ from tillwork.llm.spark_util import free_name
 from tillwork.llm.words import row_chunks, utf8
 
 MARK = "▁"
-MEMO = 400_000
+MEMO = 150_000
+PAIRS = 800_000
 FINAL = ""
 #: weight of an unknown character above that of the worst piece
 UNKNOWN_PENALTY = 10.0
@@ -88,6 +89,7 @@ class Transducers:
                         else p.replace(MARK, " ").encode() for p, t in zip(spec.pieces, spec.types)]
         self.pairs: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # the lexicon: nested dicts of characters, a final state has its piece's id under FINAL; a
         # BPE piece that merging never makes is on no path
         self.lexicon: dict = {}
@@ -142,7 +144,7 @@ class Transducers:
 
     def stays(self, left: int, right: int) -> bool:
         """Arc of the neighbour transducer: the boundary survives the merging of both."""
-        if len(self.pairs) > 2 * MEMO:
+        if len(self.pairs) > PAIRS:
             self.pairs.clear()
         a, b = self.spec.pieces[left], self.spec.pieces[right]
         self.pairs[left << 32 | right] = found = self.merged(a + b) == [a, b]
@@ -207,12 +209,13 @@ class Transducers:
 
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit integers."""
+        if len(self.memo) > MEMO:  # words that come again soon are taken over, the others forgotten
+            self.memo, self.older = {}, self.memo
         memo, words = self.memo, self.cut.findall(self.normalise(text))
-        if len(memo) > MEMO:
-            memo.clear()
         for word in words:
             if word not in memo:
-                memo[word] = np.array(self.encode_word(word), np.int32).tobytes()
+                ids = self.older.get(word)
+                memo[word] = np.array(self.encode_word(word), np.int32).tobytes() if ids is None else ids
         return b"".join([memo[w] for w in words])
 
     def decode(self, ids) -> str:
