@@ -194,9 +194,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        .groupBy("doc_id").agg(F.first("shingles").alias("shingles"), F.first("bits").alias("bits")))
     links = materialise(confirmed(star_edges(members), sets, percent))
     labels = connected_components(links).select("node", "component")
-    known = nodes.dropDuplicates(["node"]).join(sets.select(F.col("doc_id").alias("node"), "bits"), "node")
+    known = nodes.join(sets.select(F.col("doc_id").alias("node"), "bits"), "node").dropDuplicates(["node"])
     more = confirmed(cross_pairs(members, known, labels, percent), sets, percent)
-    final = connected_components(links.union(more))
+    found = labels.where("node <> component").select(F.col("node").alias("u"), F.col("component").alias("v"))
+    final = connected_components(found.union(more))
     of_key = groups.join(final, "node", "left").select("k1", "k2", F.coalesce("component", "node").alias("component_id"))
     out = sig.select("doc_id", "n_shingles", "k1", "k2").join(of_key, ["k1", "k2"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component_id")), "doc_id"))
