@@ -7,20 +7,22 @@ is sorted by one task, and with no keys at all Spark moves the table into
 one partition.
 
 Two-phase form (used whenever ``bucket`` is given): ``bucket`` is a
-coarse column (or columns) that never decreases along ``order`` inside a
-key — e.g. the (store, page-group) prefix of the order key, or the hour of
-a timestamp.
+coarse column, or columns from coarse to fine, that never decrease along
+``order`` inside a key — e.g. the (date, store, page-group) prefix of the
+order key, or the day and minute of a timestamp.
 
 1. scan inside each (keys, bucket) segment — bounded work per task;
 2. reduce every segment to its final scan value (one row per segment,
    computed map-side on the already partitioned data);
-3. scan the small segment table along the bucket (per key) to get the
-   value carried in from earlier segments;
+3. carry over the segments level by level: inside one (key, coarser
+   buckets) group along the finest bucket, then over the groups' own end
+   values, and so on up to the coarsest bucket;
 4. join the carry back on (keys, bucket) and combine.
 
-Step 3 works on one row per segment, so a hot key costs #segments rows
-there, and a global scan costs #buckets rows; AQE broadcasts the segment
-table when its measured size allows.
+No window of step 3 sees more rows than one bucket column has values inside
+one value of the coarser ones: with (day, minute) a global scan sorts 1440
+rows a day and then the days, however many rows a minute holds.  AQE
+broadcasts the segment table when its measured size allows.
 
 There is one form for a given call, whatever the key sizes, so results do
 not depend on how large a key is.  Rows whose result is null by rule (a null
@@ -66,6 +68,36 @@ def _local_expr(kind: str, src: str | None, w) -> Column:
     raise ValueError(f"unknown scan kind {kind!r}")
 
 
+def _carried(segments: DataFrame, specs, keys: list[str], buckets: list[str], descending: bool) -> DataFrame:
+    """``segments`` (one row per keys + buckets with its end values ``__tw_s_*``) with the
+    value ``__tw_c_*`` that all earlier segments of the key carry into each."""
+    *outer, inner = buckets
+    group = keys + outer
+    along = F.col(inner).desc_nulls_last() if descending else F.col(inner).asc_nulls_first()
+    w = (Window.partitionBy(*group) if group else Window).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
+    pick = F.min_by if descending else F.max_by
+    cols, ends = {}, []
+    for o, k, _ in specs:
+        s = F.col(f"__tw_s_{o}")
+        cols[f"__tw_c_{o}"] = F.last(s, ignorenulls=True).over(w) if k == "last" else F.sum(s).over(w)
+        end = pick(s, F.when(s.isNotNull(), F.struct(inner))) if k == "last" else F.sum(s)
+        ends.append(end.alias(f"__tw_s_{o}"))
+    out = segments.withColumns(cols)
+    if not outer:
+        return out
+    above = _carried(segments.groupBy(*group).agg(*ends), specs, keys, outer, descending)
+    jn = {c: f"__tw_u{len(outer)}_{i}" for i, c in enumerate(group)}
+    up = {f"__tw_c_{o}": f"__tw_a{len(outer)}_{o}" for o, _, _ in specs}
+    above = above.select(*[F.col(c).alias(n) for c, n in jn.items()], *[F.col(c).alias(n) for c, n in up.items()])
+    out = out.join(above, on=[F.col(c).eqNullSafe(F.col(n)) for c, n in jn.items()], how="left")
+    combined = {}
+    for o, k, _ in specs:
+        c = f"__tw_c_{o}"
+        near, far = F.col(c), F.col(up[c])
+        combined[c] = F.coalesce(near, far) if k == "last" else F.coalesce(near + far, near, far)
+    return out.withColumns(combined).drop(*jn.values(), *up.values())
+
+
 def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), order=("ord",),
          bucket=None, descending: bool = False, null_keys: str = "group") -> DataFrame:
     """Add one column per ``(out, kind, src)`` spec.
@@ -113,17 +145,12 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
     pick = F.min_by if descending else F.max_by
     seg_tbl = work.groupBy(*seg).agg(*[pick(F.col(local_names[o]), order_struct).alias(f"__tw_s_{o}")
                                       for o, _, _ in specs])
-    b_order = [F.col(b).desc_nulls_last() if descending else F.col(b).asc_nulls_first() for b in bnames]
-    w_carry = Window.orderBy(*b_order) if not keys else Window.partitionBy(*keys).orderBy(*b_order)
-    w_carry = w_carry.rowsBetween(Window.unboundedPreceding, -1)
-    carry = {}
-    for o, k, _ in specs:
-        s = F.col(f"__tw_s_{o}")
-        carry[f"__tw_c_{o}"] = F.last(s, ignorenulls=True).over(w_carry) if k == "last" else F.sum(s).over(w_carry)
+    seg_tbl = _carried(seg_tbl, specs, keys, bnames, descending).select(*seg, *[f"__tw_c_{o}" for o, _, _ in specs])
     # Fresh names on the segment side: it descends from ``work``, and equal
     # attribute ids on both sides would turn the join condition into c <=> c.
     jn = {c: f"__tw_j{i}" for i, c in enumerate(seg)}
-    seg_tbl = seg_tbl.select(*[F.col(c).alias(jn[c]) for c in seg], *[e.alias(n) for n, e in carry.items()])
+    carry = [f"__tw_c_{o}" for o, _, _ in specs]
+    seg_tbl = seg_tbl.select(*[F.col(c).alias(jn[c]) for c in seg], *carry)
 
     joined = work.join(seg_tbl, on=[F.col(c).eqNullSafe(F.col(jn[c])) for c in seg], how="left")
     joined = joined.drop(*jn.values())
@@ -131,4 +158,4 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
     for o, k, _ in specs:
         local, c = F.col(local_names[o]), F.col(f"__tw_c_{o}")
         combined[o] = F.coalesce(local, c) if k == "last" else local + F.coalesce(c, F.lit(0))
-    return joined.withColumns(combined).drop(*bnames, *local_names.values(), *carry.keys())
+    return joined.withColumns(combined).drop(*bnames, *local_names.values(), *carry)

@@ -84,6 +84,11 @@ inv_c AS (
 LOG_ORDER = ["ts", "event_id"]
 
 
+def log_buckets():
+    """Order-monotone buckets of the log: days, and the minutes inside a day."""
+    return [F.to_date("ts"), F.date_trunc("minute", "ts")]
+
+
 # --------------------------------------------------------------------------
 # A1 C4 C11 C12 C13 (X7 X8): staff KPI — the flagship.
 def priced_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,8 +302,8 @@ SELECT event_id, last_value(sparse IGNORE NULLS) OVER (ORDER BY ts, event_id ROW
 FROM log
 """)
 def q_fill_global(spark, sf_dir):
-    lg = order_log(spark, sf_dir).select("event_id", "ts", "sparse", "day")
-    return fill.fill_global(lg, "sparse", order=LOG_ORDER, bucket="day").select("event_id", "sparse")
+    lg = order_log(spark, sf_dir).select("event_id", "ts", "sparse")
+    return fill.fill_global(lg, "sparse", order=LOG_ORDER, bucket=log_buckets()).select("event_id", "sparse")
 
 
 @register("fill_group_then_global", f"""
@@ -308,8 +313,8 @@ SELECT event_id, first_value(fwd IGNORE NULLS) OVER (ORDER BY ts, event_id ROWS
 FROM f
 """)
 def q_fill_group_then_global(spark, sf_dir):
-    lg = order_log(spark, sf_dir).select("event_id", "ts", "grp", "sparse", "day")
-    return fill.fill_group_then_global(lg, "grp", "sparse", order=LOG_ORDER, bucket="day").select("event_id", "sparse")
+    lg = order_log(spark, sf_dir).select("event_id", "ts", "grp", "sparse")
+    return fill.fill_group_then_global(lg, "grp", "sparse", order=LOG_ORDER, bucket=log_buckets()).select("event_id", "sparse")
 
 
 # Carry the parent's sign --------------------------------------------------------

@@ -91,10 +91,10 @@ def nulls_last_key(*cols) -> list[Column]:
     return out
 
 
-def ingest_bucket(cfg: JobConfig) -> Column:
-    """Coarse, order-monotone bucket of the ingestion key (date, store, page
-    group) for the global fills."""
-    return F.struct(F.col("ord.report_date"), F.col("ord.store_ord"), F.floor(F.col("ord.page_no") / F.lit(cfg.pages_per_bucket)))
+def ingest_bucket(cfg: JobConfig) -> list[Column]:
+    """Order-monotone buckets of the ingestion key, from coarse to fine (date,
+    store, page group), for the scans in ingestion order."""
+    return [F.col("ord.report_date"), F.col("ord.store_ord"), F.floor(F.col("ord.page_no") / F.lit(cfg.pages_per_bucket))]
 
 
 # X1 ----------------------------------------------------------------------------
@@ -155,7 +155,8 @@ def order_log_items(flat: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     header_ok = F.col("change_parsed") if "change_parsed" in df.columns else F.lit(False)
     cd_id = F.when(header_ok, parsed_id).otherwise(N.extract_id("change_data", "tran_id"))
     df = df.withColumn("tran_id", F.coalesce(cd_id, F.col("tran_id")))
-    df = stage(fill.carry_sign(df, "tran_id", "quantity", S.starts_with("item_name", "+"), order=["ord"]), cfg)
+    df = stage(fill.carry_sign(df, "tran_id", "quantity", S.starts_with("item_name", "+"), order=["ord"],
+                               bucket=ingest_bucket(cfg)), cfg)
     df = df.select("ord", F.col("tran_id").alias("invoice_id"), F.col("tran_no").alias("invoice_no"),
                    S.local_time_text("tran_date", fmt=S.DATETIME_TEXT).alias("ts"), "table_name",
                    F.col("employee_name").alias("employee"), "log_type", "note", F.col("item_name").alias("item"),
