@@ -1158,6 +1158,117 @@ def daily_job_inputs(spark, sf_dir):
     return flat, lines
 
 
+# Headers of landed pages, their store, their details ---------------------------------
+@register("attach_details", """
+WITH l AS (
+  SELECT l.*, row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) - 1 AS pos,
+         p_name, p_retailprice FROM lineitem l JOIN part ON l_partkey = p_partkey)
+SELECT 'N' || CAST(o_orderkey AS VARCHAR) AS tran_no, 'Cửa hàng ' || CAST(o_orderkey % 5 AS VARCHAR) AS store_name,
+       CAST(o_orderkey % 5 AS INTEGER) AS store_ord, epoch_ms(o_orderdate) AS tran_date, o_totalprice AS total_amount,
+       CAST(pos AS INTEGER) AS line_pos, p_name AS item_name, CAST(floor(l_quantity) AS DOUBLE) AS quantity,
+       p_retailprice AS price_org, l_extendedprice AS amount, (l_linenumber = 1) AS has_topping
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN l ON l_orderkey = o_orderkey
+""")
+def q_attach_details(spark, sf_dir):
+    _, lines = daily_job_inputs(spark, sf_dir)
+    return lines.select("tran_no", "store_name", "store_ord", "tran_date", "total_amount", "line_pos", "item_name",
+                        "quantity", "price_org", "amount", (F.col("toppings") != "[]").alias("has_topping"))
+
+
+# A dated sink, written for all days, then again for the last one ------------------------------
+@register("dated_sink", """
+WITH d AS (SELECT strftime(ts, '%Y-%m-%d') AS report_date, event_id, user_id, value FROM events)
+SELECT report_date, event_id, user_id,
+       CASE WHEN report_date = (SELECT max(report_date) FROM d) THEN -value ELSE value END AS value
+FROM d
+""")
+def q_dated_sink(spark, sf_dir):
+    import uuid
+
+    from tillwork.session import checkpoint_dir
+    from tillwork.sources.sinks import read_dated, write_dated
+
+    path = f"{checkpoint_dir(spark)}/dated-{uuid.uuid4().hex}"
+    log = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("report_date"), "event_id",
+                                                "user_id", "value")
+    write_dated(log, path)
+    last = log.agg(F.max("report_date").alias("d"))
+    rerun = log.join(F.broadcast(last), F.col("report_date") == F.col("d")).drop("d")  # one row
+    write_dated(rerun.withColumn("value", -F.col("value")), path)
+    return read_dated(spark, path).select(F.col("report_date").cast("string").alias("report_date"), "event_id", "user_id",
+                                          "value")
+
+
+# Invoice lines and their add-ons, classified, filled and numbered -----------------------------
+@register("invoice_items", """
+WITH c AS (
+  SELECT c_custkey,
+         CASE WHEN c_custkey % 17 = 0 THEN 'iPOS-O2O' WHEN c_custkey % 19 = 0 THEN ' ' ELSE c_name END AS customer,
+         CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN ''
+              ELSE '09' || lpad(CAST(c_custkey AS VARCHAR), 8, '0') END AS phone,
+         CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN 'Thành viên mặc định'
+              ELSE c_mktsegment END AS membership
+  FROM customer),
+k AS (SELECT *, CASE WHEN customer = 'iPOS-O2O' OR trim(customer) = '' OR coalesce(trim(phone), '') = '' THEN 'Khách lẻ'
+                     WHEN coalesce(membership, '') IN ('', 'Thành viên mặc định') THEN 'Khách mới'
+                     ELSE 'Khách quay lại' END AS customer_type FROM c),
+l AS (
+  SELECT o_orderkey, o_totalprice, o_orderdate, o_custkey, k.customer, k.phone, k.customer_type, l_linenumber, p_name,
+         l_quantity, p_retailprice, row_number() OVER (PARTITION BY l_orderkey
+           ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS pos
+  FROM orders JOIN k ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+items AS (
+  SELECT *, 0 AS child, p_name AS item, CAST(floor(l_quantity) AS DOUBLE) AS qty FROM l
+  UNION ALL
+  SELECT *, 1, '+ Topping Hạt đác', 1.0 FROM l WHERE l_linenumber = 1)
+SELECT 'Cửa hàng ' || CAST(o_orderkey % 5 AS VARCHAR) AS store, 'T' || CAST(o_orderkey AS VARCHAR) AS invoice_id,
+       'N' || CAST(o_orderkey AS VARCHAR) AS invoice_no, strftime(o_orderdate + INTERVAL 7 HOUR, '%Y/%m/%d') AS date,
+       printf('%02d:%02d:00', o_orderkey % 24, o_custkey % 60) AS time_in,
+       printf('%02d:00:00', (o_orderkey + 1) % 24) AS time_out, 'B' || CAST(o_orderkey % 20 AS VARCHAR) AS table_name,
+       item, qty, p_retailprice AS unit_price, CAST((o_orderkey % 4) + 1 AS INTEGER) AS guests,
+       o_totalprice AS bill_total, coalesce(customer, '') AS customer, coalesce(phone, '') AS phone, customer_type,
+       CAST(row_number() OVER (PARTITION BY o_orderkey, item, qty ORDER BY pos, child) AS INTEGER) AS occurrence
+FROM items
+""")
+def q_invoice_items(spark, sf_dir):
+    from tillwork.plans.pipeline import JobConfig, invoice_items
+
+    _, lines = daily_job_inputs(spark, sf_dir)
+    return invoice_items(lines, JobConfig()).select(
+        "store", "invoice_id", "invoice_no", "date", "time_in", "time_out", "table_name", "item", "qty", "unit_price",
+        "guests", "bill_total", "customer", "phone", "customer_type", "occurrence")
+
+
+# The change log, flattened, signed, filled and filtered ---------------------------------------
+JOB_LOG_CTE = """
+lp AS (
+  SELECT *, l_orderkey // 20 AS page, l_shipdate + INTERVAL 7 HOUR + l_linenumber * INTERVAL 1 MINUTE AS moment
+  FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey % 5, page
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) AS entry FROM lp),
+logged AS (
+  SELECT *, 0 AS place, p_name AS item, CAST(floor(l_quantity) AS DOUBLE) AS qty FROM placed
+  UNION ALL SELECT *, 1, '+ Topping Hạt đác', 1.0 FROM placed WHERE l_linenumber = 1
+  UNION ALL SELECT *, 2, p_name, -1.0 FROM placed WHERE l_linenumber % 6 = 0)"""
+
+
+@register("order_log_items", f"""
+WITH {JOB_LOG_CTE.strip()}
+SELECT 'T' || CAST(l_orderkey AS VARCHAR) AS invoice_id, 'N' || CAST(l_orderkey AS VARCHAR) AS invoice_no,
+       strftime(moment, '%Y/%m/%d %H:%M:%S') AS ts, 'B' || CAST(l_orderkey % 20 AS VARCHAR) AS table_name,
+       s_name AS employee, CASE WHEN l_linenumber = 7 THEN 'PRINT' ELSE 'SALE_CHANGE' END AS log_type, item, qty
+FROM logged WHERE l_linenumber <> 7
+""")
+def q_order_log_items(spark, sf_dir):
+    from tillwork.plans.pipeline import JobConfig, order_log_items
+
+    flat, _ = daily_job_inputs(spark, sf_dir)
+    return order_log_items(flat, JobConfig()).select("invoice_id", "invoice_no", "ts", "table_name", "employee",
+                                                     "log_type", "item", "qty")
+
+
 @register("daily_pipeline", None)
 def q_daily_pipeline(spark, sf_dir):
     from tillwork.plans.pipeline import JobConfig, run_stages

@@ -347,22 +347,62 @@ def write_outputs(result: dict[str, DataFrame], root: str) -> None:
 # X0 + whole job -------------------------------------------------------------------
 @dataclass
 class LandedPaths:
+    """Roots of the landed responses: one file per page or invoice, or (``compact``)
+    JSON lines with many of them a file."""
+
     change_log: str
     invoices: str
     details: str
-
-
-def daily_job(spark: SparkSession, paths: LandedPaths, store_map, cfg: JobConfig = JobConfig()) -> dict[str, DataFrame]:
-    """Read the landed pages and return every stage's DataFrame (lazy)."""
-    from tillwork.sources.invoices import attach_details, read_details, read_invoices, stores
-    from tillwork.sources.pages import flatten_change_log, read_pages
-
-    dim = stores(spark, store_map)
-    entries = read_pages(spark, paths.change_log, stores=dim)
-    flat = flatten_change_log(entries)
-    headers = read_invoices(spark, paths.invoices, dim)
-    lines = attach_details(headers, read_details(spark, paths.details))
-    return run_stages(flat, lines, cfg)
+    compact: bool = False
+
+
+def save_and_reload(df: DataFrame, path: str) -> DataFrame:
+    """Write raw rows by report date under ``path`` and read those dates back.  An empty
+    source writes nothing, so it replaces nothing saved before, and stays empty."""
+    from tillwork.sources.sinks import read_dated, write_dated
+
+    spark = df.sparkSession
+    dates = [r[0] for r in df.select("report_date").distinct().collect()]  # one value per landed day
+    if not dates:
+        return spark.createDataFrame([], df.schema)
+    write_dated(df, path)
+    saved = read_dated(spark, path, dates=dates)
+    return saved.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in df.schema.fields])
+
+
+def acquire(spark: SparkSession, paths: LandedPaths, store_map, window=None,
+            raw_root: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """X0 – (flattened change log, invoice lines) of the landed pages.
+
+    ``window`` (S5 bounds) keeps the entries and invoices of the report period;
+    ``raw_root`` saves both sources by report date and goes on from what was saved."""
+    from tillwork.sources import invoices as I
+    from tillwork.sources import pages
+
+    dim = I.stores(spark, store_map)
+    read_log = pages.read_page_lines if paths.compact else pages.read_pages
+    read_headers = I.read_invoice_lines if paths.compact else I.read_invoices
+    read_details = I.read_detail_lines if paths.compact else I.read_details
+    entries = read_log(spark, paths.change_log, stores=dim)
+    headers = read_headers(spark, paths.invoices, dim)
+    if window is not None:
+        entries, headers = I.in_window(entries, "tran_date", window), I.in_window(headers, "tran_date", window)
+    flat = pages.flatten_change_log(entries)
+    lines = I.attach_details(headers, read_details(spark, paths.details))
+    if raw_root is None:
+        return flat, lines
+    return save_and_reload(flat, f"{raw_root}/change_log"), save_and_reload(lines, f"{raw_root}/invoices")
+
+
+def daily_job(spark: SparkSession, paths: LandedPaths, store_map, cfg: JobConfig = JobConfig(), window=None,
+              raw_root: str | None = None, out_root: str | None = None) -> dict[str, DataFrame]:
+    """Acquire (X0), run X1–X8 and return every stage's DataFrame; with ``out_root``
+    the priced sales and the staff KPI are written by date."""
+    flat, lines = acquire(spark, paths, store_map, window, raw_root)
+    out = run_stages(flat, lines, cfg)
+    if out_root is not None:
+        write_outputs(out, out_root)
+    return out
 
 
 def run_stages(flat: DataFrame, lines: DataFrame, cfg: JobConfig = JobConfig()) -> dict[str, DataFrame]:
