@@ -12,7 +12,7 @@ a lattice, whose shortest path in the tropical semiring is the encoding.
   search goes depth first by the number of pieces and remembers dead states.
 
 No piece holds a space mark after another character, so marks cut an input into words, which
-are composed and searched one by one and remembered.
+are composed and searched one by one; those that come again are remembered.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ import math
 import re
 import sys
 import types
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,8 @@ from tillwork.llm.words import row_chunks, utf8
 
 MARK = "▁"
 MEMO = 150_000
+#: marks of words that came once, by their hash
+SEEN = 1 << 22
 PAIRS = 800_000
 FINAL = ""
 #: weight of an unknown character above that of the worst piece
@@ -83,6 +86,7 @@ class Transducers:
         self.id = dict(normal)
         self.score = spec.scores
         self.known = set("".join(self.id))
+        self.alone = {p for p in self.id if len(p) == 1}
         self.unknown_weight = UNKNOWN_PENALTY - min((spec.scores[i] for i in self.id.values()), default=0.0)
         self.bytes = {int(p[3:5], 16): i for i, (p, t) in enumerate(zip(spec.pieces, spec.types)) if t == BYTE}
         self.surface = [b"" if t == CONTROL else b" \xe2\x81\x87 " if t == UNKNOWN else bytes([int(p[3:5], 16)]) if t == BYTE
@@ -90,6 +94,7 @@ class Transducers:
         self.pairs: dict[int, bool] = {}
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.seen = bytearray(SEEN)
         # the lexicon: nested dicts of characters, a final state has its piece's id under FINAL; a
         # BPE piece that merging never makes is on no path
         self.lexicon: dict = {}
@@ -152,12 +157,23 @@ class Transducers:
 
     def bpe_path(self, word: str) -> list[int]:
         """The one path through the lattice and the neighbour transducer."""
-        n, known, arcs = len(word), self.pairs.get, self.arcs
+        n, known, lexicon = len(word), self.pairs.get, self.lexicon
         path: list[int] = []
-        ends, choices, dead = [0], [arcs(word, 0)], set()
+        ends, choices, dead = [0], [], set()
         last = None
         while ends[-1] < n:
-            choice = choices[-1]
+            if len(choices) < len(ends):  # the arcs from here
+                choice, state, end = [], lexicon, ends[-1]
+                for char in word[end:]:
+                    state = state.get(char)
+                    if state is None:
+                        break
+                    end += 1
+                    if FINAL in state:
+                        choice.append((end, state[FINAL]))
+                choices.append(choice)
+            else:
+                choice = choices[-1]
             while choice:
                 end, piece = choice.pop()  # the longest piece first
                 if last is not None:
@@ -168,7 +184,6 @@ class Transducers:
                     continue
                 path.append(piece)
                 ends.append(end)
-                choices.append(arcs(word, end))
                 last = piece
                 break
             else:
@@ -197,6 +212,8 @@ class Transducers:
     def encode_word(self, word: str) -> list[int]:
         if not self.spec.bpe:
             return [i for p in self.unigram_path(word) for i in ([self.id[p]] if p in self.id else self.fallback(p))]
+        if self.alone.issuperset(word):
+            return self.bpe_path(word)
         out, start = [], 0
         for at, char in enumerate(word + "\0"):  # runs of characters that stand for themselves
             if at == len(word) or char not in self.id:
@@ -210,13 +227,22 @@ class Transducers:
     def encode(self, text: str) -> bytes:
         """The ids as 32-bit integers."""
         if len(self.memo) > MEMO:  # words that come again soon are taken over, the others forgotten
-            self.memo, self.older = {}, self.memo
-        memo, words = self.memo, self.cut.findall(self.normalise(text))
-        for word in words:
-            if word not in memo:
-                ids = self.older.get(word)
-                memo[word] = np.array(self.encode_word(word), np.int32).tobytes() if ids is None else ids
-        return b"".join([memo[w] for w in words])
+            self.memo, self.older, self.seen = {}, self.memo, bytearray(SEEN)
+        memo, older, seen, out = self.memo, self.older, self.seen, []
+        for word in self.cut.findall(self.normalise(text)):
+            ids = memo.get(word)
+            if ids is None:
+                ids = older.get(word)
+                if ids is not None:
+                    memo[word] = ids
+                else:
+                    ids = array("i", self.encode_word(word)).tobytes()
+                    slot = hash(word) % SEEN
+                    if seen[slot]:  # most words that come once never come again
+                        memo[word] = ids
+                    seen[slot] = 1
+            out.append(ids)
+        return b"".join(out)
 
     def decode(self, ids) -> str:
         surface = self.surface
