@@ -365,3 +365,17 @@ def test_pipeline_stages(spark, tmp_path):
     back = sentencepiece_fst.Transducers(sentencepiece_fst.read_model(TOKENIZER))
     text = dict(rows)
     assert back.decode(got[1003].ids) == "key [secret] end" and back.decode(got[5].ids) == text[5]
+
+
+@pytest.mark.skipif(not MODEL, reason="no tokenizer files")
+def test_remembered_words_do_not_change_ids(monkeypatch):
+    """Words met once, twice, taken over and forgotten encode as in a fresh model."""
+    S = sentencepiece_fst
+    spec = S.read_model(TOKENIZER)
+    texts = [" ".join(f"word{(i * k) % 23} naïve{k} ▁ 中{i}" for k in range(6)) for i in range(40)] * 2
+    want = [S.Transducers(spec).encode(t) for t in texts[:5]]
+    monkeypatch.setattr(S, "MEMO", 7)
+    monkeypatch.setattr(S, "SEEN", 16)
+    small = S.Transducers(spec)
+    got = [small.encode(t) for t in texts]
+    assert got[:5] == want and got[:40] == got[40:]
