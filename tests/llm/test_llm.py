@@ -233,6 +233,24 @@ def test_slots_must_be_consistent():
     assert decontamination.held_items(mixed, {1: 10}) == {}
 
 
+def test_decontamination_judges_each_occurrence(spark):
+    item = "the farmer keeps 3 brown hens beside 5 white geese all winter"
+    other = item.replace("3", "12").replace("5", "9")
+    apart = "the farmer keeps 3 brown hens and their many small chicks beside 5 white geese all winter"
+    wrong = "a 7 farmer sees 3 brown hens"
+    rows = [(1, f"{item} and {other}"), (2, f"{other} then {item}"), (3, f"{other}. " * 4), (4, wrong), (5, item), (6, apart),
+            (7, " ".join(item.replace("3", str(k)).replace("5", str(k + 50)) for k in range(20, 40)))]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    for limit in (10**6, 0):
+        got = {r.doc_id: (r.contaminated, r.coverage) for r in decontamination.flag_contaminated(frame(spark, rows), bench, broadcast_windows=limit).collect()}
+        assert {i for i, (flag, _) in got.items() if flag} == {1, 2, 3, 5, 7}
+        assert all(got[i][1] == 1.0 for i in (1, 2, 3, 5, 7))
+    # words put in move the alignment within one occurrence; its parts count together, and no other copy's values
+    theirs = [["3", ""]] * 6 + [["", "5"]] * 6
+    copy = lambda start, gap, a, b: [(1, p, theirs[p], [a, ""] if p < 6 else ["", b], start + p + gap * (p >= 6)) for p in range(12)]
+    assert decontamination.held_items(copy(0, 2, "3", "5") + copy(40, 3, "12", "3"), {1: 24}) == {1: 0.5}
+
+
 # -- toxicity
 
 

@@ -3,15 +3,16 @@
 Words become template tokens: numbers, names and units are typed placeholders whose values
 are slots, other words are lower-cased without outer punctuation, bare punctuation goes.
 Windows of template tokens are hash-joined with the benchmark's.  A document holds an item
-if enough of its windows match with consistent slots: one slot value of the item stands for
-one value in the document and the other way round, so a question with other numbers counts
-and a chance template match does not.
+if enough windows of one occurrence match with consistent slots: one slot value of the item
+stands for one value there and the other way round, so a question with other numbers counts and
+a chance template match does not.  Several variants of an item in one document do not mix.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
 from itertools import chain
 
@@ -150,24 +151,47 @@ def window_table(docs: DataFrame, id_col: str, text_col: str, key: list[str] = [
         run, "id long, " + "".join(f"{k} long, " for k in key) + "pos long, hash long, slots array<string>")
 
 
-def held_items(hits: list[tuple[int, int, list[str], list[str]]], windows: dict[int, int]) -> dict[int, float]:
+def consistent_windows(found: list[tuple[int, int, list]], seed: int | None = None) -> int:
+    """Number of item positions whose slots fit one mapping of values, voted for by the hits
+    (alignment, item position, slot pairs); those nearer to the alignment ``seed`` vote first."""
+    votes = Counter((0 if seed is None else abs(shift - seed), p) for shift, _, pairs in found for p in pairs)
+    to, back = {}, {}
+    for (_, (a, b)), _ in sorted(votes.items(), key=lambda v: (v[0][0], -v[1], v[0][1])):
+        if a not in to and b not in back:
+            to[a], back[b] = b, a
+    return len({pos for _, pos, pairs in found if all(to.get(a) == b for a, b in pairs)})
+
+
+def held_items(hits: list[tuple], windows: dict[int, int]) -> dict[int, float]:
     """Items that a document holds, with the share of their windows it holds.
 
-    hits -- (item, item position, the item's slots, the document's slots) of matching windows;
+    hits -- (item, item position, the item's slots, the document's slots, document position) of
+    matching windows; without the last they lie in the document as in the item;
     windows -- the number of windows of each item.
+
+    Every occurrence is judged by itself: its windows lie at one alignment of document and item,
+    and words put in or left out move it by less than the item's length.  The windows of the
+    whole text are judged together, too, for an item whose parts lie far apart.
     """
     by_item = defaultdict(list)
-    for item, pos, theirs, ours in hits:
-        by_item[item].append((pos, [(a, b) for a, b in zip(theirs, ours) if a or b]))
+    for item, pos, theirs, ours, *at in hits:
+        by_item[item].append(((at[0] if at else pos) - pos, pos, [(a, b) for a, b in zip(theirs, ours) if a or b]))
     out = {}
     for item, found in by_item.items():
-        votes = Counter(p for _, pairs in found for p in pairs)
-        to, back = {}, {}
-        for (a, b), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0])):
-            if a not in to and b not in back:
-                to[a], back[b] = b, a
-        n = len({pos for pos, pairs in found if all(to.get(a) == b for a, b in pairs)})
-        if n >= min(RUN - WIDTH + 1, SHARE * windows[item]):
+        least, most = min(RUN - WIDTH + 1, SHARE * windows[item]), len({pos for _, pos, _ in found})
+        if most < least:
+            continue
+        n = consistent_windows(found)
+        if n < most:
+            found.sort(key=lambda f: f[:2])
+            shifts, reach = [f[0] for f in found], max(f[1] for f in found) + WIDTH - 1
+            for shift, _ in Counter(shifts).most_common():
+                near = found[bisect_left(shifts, shift - reach) : bisect_right(shifts, shift + reach)]
+                if len({f[1] for f in near}) > n:
+                    n = max(n, consistent_windows(near, shift))
+                if n == most:
+                    break
+        if n >= least:
             out[item] = min(1.0, n / windows[item])
     return out
 
@@ -199,8 +223,8 @@ def flag_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     def judge(key, table):
         import pyarrow as pa
 
-        rows = table.select(["item", "item_pos", "item_slots", "slots"]).to_pylist()
-        found = held_items([(r["item"], r["item_pos"], r["item_slots"], r["slots"]) for r in rows],
+        rows = table.select(["item", "item_pos", "item_slots", "slots", "pos"]).to_pylist()
+        found = held_items([(r["item"], r["item_pos"], r["item_slots"], r["slots"], r["pos"]) for r in rows],
                            dict(zip(table["item"].to_pylist(), table["windows"].to_pylist())))
         rows = [(key[0].as_py(), key[1].as_py(), i, s) for i, s in found.items()]
         return pa.table([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.float64()))],
@@ -235,8 +259,8 @@ def _flag_by_broadcast(docs: DataFrame, text_col: str, names: list[str], theirs:
                 left, right = np.searchsorted(keys, value, "left"), np.searchsorted(keys, value, "right")
                 hits = defaultdict(list)
                 for i in np.flatnonzero(right > left):
-                    ours = t.slots(begin[i])
-                    hits[doc[i]] += [(*theirs[k][1:], ours) for k in range(left[i], right[i])]
+                    ours, at = t.slots(begin[i]), int(begin[i] - t.first[doc[i]])
+                    hits[doc[i]] += [(*theirs[k][1:], ours, at) for k in range(left[i], right[i])]
                 held = {d: held_items(h, windows) for d, h in hits.items()}
                 items = [sorted(held.get(i, ())) for i in range(hi - lo)]
                 most = [max(held[i].values()) if x else 0.0 for i, x in enumerate(items)]
