@@ -251,6 +251,19 @@ def test_decontamination_judges_each_occurrence(spark):
     assert decontamination.held_items(copy(0, 2, "3", "5") + copy(40, 3, "12", "3"), {1: 24}) == {1: 0.5}
 
 
+def test_decontamination_finds_items_without_a_window(spark):
+    items = {1: "What is the capital of France?", 2: "12 45 78 times 3 5 9 plus 4 8 15 16 23 42", 3: "日本の首都はどこですか。", 4: "Yes, 42!", 5: "...",
+             6: "ประเทศไทยมีเมืองหลวงชื่ออะไร", 7: "add 3 4 5 6 7 8 9 then 1 2 3 4 5 6 halve 7 8 9 1 2 3 4 double 5 6 7"}
+    rows = [(1, "He asked: What is the capital of France? Nobody knew."), (2, "Well, what is the capital of Spain?"), (3, "the capital of France is what"),
+            (4, f"sum {items[2]} now"), (5, "sum 12 45 78 times 3 5 9 plus 4 8 15 16 23 43 now"), (6, "問題:" + items[3] + "答えは東京です"), (7, "日本の首都は東京です"),
+            (8, "yes 42"), (9, "yes 43"), (10, "42 yes"), (11, "... !"), (12, None), (13, "ตอบ" + items[6] + " ครับ"), (14, items[7] + " end"), (15, items[7][:-1] + "8")]
+    want = {1: [1], 2: [1], 4: [2], 6: [3], 8: [4], 13: [6], 14: [7]}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for limit in (10**6, 0):
+        got = decontamination.flag_contaminated(frame(spark, rows), bench, broadcast_windows=limit).collect()
+        assert {r.doc_id: r["items"] for r in got if r.contaminated} == want and len(got) == len(rows)
+
+
 # -- toxicity
 
 
