@@ -348,6 +348,74 @@ def test_licenses(spark):
     assert licenses.scan_licenses(frame(spark, [])).count() == 0
 
 
+MIT_TEXT = """Copyright (c) 2021 Foo
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE."""
+BSD2_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3_TEXT = BSD2_TEXT + """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS
+IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED."""
+APACHE_TEXT = """Licensed under the Apache License, Version
+2.0 (the "License");
+you may not use this file except in compliance with the
+License. You may obtain a copy at the usual place."""
+GNU_TEXT = """This program is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU {kind}General Public License as published by
+the Free Software Foundation{mark2} either version {version} of the License, or
+(at your option) any later version."""
+GNU = {f"{k}GPL-{v}": (kind, v.removesuffix(".0")) for k, kind, v in (("A", "Affero ", "3.0"), ("L", "Lesser ", "3.0"), ("L", "Lesser ", "2.1"), ("", "", "3.0"), ("", "", "2.0"))}
+STANDARD = {"MIT": MIT_TEXT, "ISC": ISC_TEXT, "BSD-2-Clause": BSD2_TEXT + BSD_END, "BSD-3-Clause": BSD3_TEXT + BSD_END, "Apache-2.0": APACHE_TEXT,
+            "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. More at the usual place.",
+            "EPL-2.0": "made available under the terms of the Eclipse\nPublic License v2.0 which comes along",
+            "CC-BY-NC-SA-4.0": "This work is under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 International License.",
+            "CC0-1.0": "The authors dedicate any and all copyright\nto the public domain.",
+            **{name: GNU_TEXT.format(kind=kind, version=v, mark=m, mark2=m2)
+               for name, (kind, v) in GNU.items() for m, m2 in [(":", ",") if v == "3" else (";", ";")]}}
+
+
+def test_hard_wrapped_licenses(spark):
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */",
+             lambda t: "\n".join(("# " + x).rstrip() for x in t.split("\n"))]
+    rows = [(10 * i + k, form(t)) for i, t in enumerate(STANDARD.values()) for k, form in enumerate(forms)]
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    for i, name in enumerate(STANDARD):
+        for k in range(len(forms)):
+            extra = ["unknown"] if name == "MIT" else []  # its copyright line is no part of a rule
+            assert got[10 * i + k].licenses == [name, *extra], (name, k, got[10 * i + k])
+    # a line is a statement of its own where it holds one
+    listed = "uses foo, released under the MIT License\n* bar, licensed under the BSD License\nLicensed under CC BY 4.0"
+    assert licenses.scan_licenses(frame(spark, [(1, listed)])).first().licenses == ["MIT", "BSD", "CC-BY-4.0"]
+
+
 # -- SentencePiece
 
 

@@ -1,8 +1,9 @@
 """License scans by sentence rules.
 
-Texts are split into sentences; those with a licence word are normalised (lower case, runs of
-other characters than letters and digits as one space) and mapped to identifiers of known
-licence sentences.  The sequence of a document's identifiers is matched against the licence
+Texts are split into sentences at punctuation, blank lines and list marks; those with a licence
+word are normalised (lower case, runs of other characters than letters and digits as one space)
+and mapped to identifiers of known licence sentences.  A known sentence may run over single
+line breaks and counts for the line it begins in, once a line.  The sequence of a document's identifiers is matched against the licence
 rules in order; what a rule matches is taken out, so a later rule can't count it again.
 DataFrame functions only.
 """
@@ -14,9 +15,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 UNKNOWN = "unknown"
 
-# Licence words, sentence boundaries, known sentences and rules, the first match counting.
+# Licence words, boundaries of the SQL (which reads line by line), ends of sentences, known sentences and rules, the first match counting.
 LICENSE_WORD = r"(?i)licen[cs]|copyright|rights reserved|redistribut|warrant|permission|endorse|public domain|gpl|creative commons|cc by|cc-by|cc0|spdx"
 BOUNDARY = r"[.!?;]+[ \t\r\n]+|[\r\n]+"
+ENDS = (
+    r"(?:(?<!\bv)\.|[!?]|;(?![\s#*/%|>]*either\b))+[ \t\r\n]+",  # not in 'v. 2.0' and 'Foundation; either version 2'
+    r":[ \t\r]*\n",
+    r"\n[ \t\r#*/;%|>=_~+.-]*\n|\r[ \t]*\r",  # blank lines, of comments too
+    r"[\r\n]+[ \t#*/;%|>]*(?:[0-9]{1,2}[.)]|\((?:[0-9]{1,2}|[abd-z]|[ivx]{2,4})\)|[•◦‣·–-])[ \t]+",
+)
+#: comes besides another identifier of the same line
+BESIDES = "gplLater"
 SENTENCES = (
     ("mitPermission", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mitNotice", r"above copyright notice and this permission notice shall be included"),
@@ -81,14 +90,33 @@ def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
     sentence fits."""
 
     def identify(sentence: Column) -> Column:
-        plain = F.trim(F.regexp_replace(F.translate(sentence, AZ, az), "[^a-z0-9]+", " "))
-        known = F.lit(UNKNOWN)
-        for name, pattern in reversed(sentences):
-            known = F.when(plain.rlike(pattern), name).otherwise(known)
-        return known
-
-    marked = F.filter(F.split(text, BOUNDARY), lambda s: s.rlike(LICENSE_WORD))
-    return F.when(text.rlike(LICENSE_WORD), F.transform(marked, identify)).otherwise(F.array().cast("array<string>"))
+        plain = F.regexp_replace(F.translate(sentence, AZ, az), "\r\n?", "\n")
+        plain = F.trim(F.regexp_replace(F.regexp_replace(plain, "[^a-z0-9\n]+", " "), " ?\n[ \n]*", "\n"))
+        for name, pattern in sentences:  # a mark where each known sentence begins
+            plain = F.regexp_replace(plain, _over_lines(pattern), f"<{name}>$0")
+        lines = F.filter(F.split(plain, "\n"), lambda line: line.contains("<"))
+        known = F.flatten(F.transform(lines, chosen))
+        unknown = F.when(sentence.rlike(LICENSE_WORD), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(known) > 0, known).otherwise(unknown)
+
+    def chosen(line: Column) -> Column:
+        first = F.lit(None).cast("string")
+        for name, _ in reversed(sentences):
+            if name != BESIDES:
+                first = F.when(line.contains(f"<{name}>"), name).otherwise(first)
+        return F.array_compact(F.array(first, F.when(line.contains(f"<{BESIDES}>"), BESIDES)))
+
+    marked = F.filter(F.split(text, "(?i)" + "|".join(ENDS)), lambda s: s.rlike(LICENSE_WORD))
+    return F.when(text.rlike(LICENSE_WORD), F.flatten(F.transform(marked, identify))).otherwise(F.array().cast("array<string>"))
+
+
+def _over_lines(pattern: str) -> str:
+    """The pattern with line breaks, and marks set before, where it has spaces; one that begins a
+    line stays in that line."""
+    mark = "(?:<\\w+>)*"
+    if pattern.startswith("^"):
+        return "(?m)^" + mark + pattern[1:].replace(".*", "[^\n]*").replace(" ", " " + mark)
+    return pattern.replace(" ", f"(?:[ \n]{mark})").replace(".*", "(?s:.*?)")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences=SENTENCES, rules=RULES) -> DataFrame:
