@@ -330,6 +330,37 @@ def test_url_trees_held_out(spark):
     assert right.agg(F.avg("ok")).first()[0] >= 0.95
 
 
+def test_url_rates_cover_all_rows_and_a_hot_url_is_one(spark, monkeypatch):
+    rnd = random.Random(4)
+    urls = [(f"http://{'casino' if i % 3 == 0 else 'news'}.site{rnd.randrange(40)}.com/{rnd.choice('abc')}/{i}", int(i % 3 == 0)) for i in range(300)]
+    all_urls = spark.createDataFrame(urls, "url string, blocked int")
+    hot = all_urls.orderBy(F.xxhash64("url")).first()
+    rows = urls + [tuple(hot)] * 150 + [(None, 1), ("http://x/", None)]
+    labelled = spark.createDataFrame(rows, "url string, blocked int")
+    prior = sum(b for u, b in rows if u and b is not None) / 450
+    scores = []
+    for bound in (50_000, 0):  # broadcast, and join by shuffle
+        monkeypatch.setattr(url_filters, "BROADCAST_KEYS", bound)
+        model = url_filters.fit_urls(labelled, train_urls=60)
+        assert model.trees is not None and bool(model.small) == bool(bound)
+        by_key = defaultdict(list)
+        for u, b in rows[:450]:
+            host, segment = re.match(r"http://([^/]*)/([^/]*)", u).groups()
+            for name, key in [*((f"suffix{k}", ".".join(host.split(".")[-k:])) for k in (1, 2, 3)), ("segment", segment)]:
+                by_key[name, key].append(b)
+        got = {(name, r.key): r.rate for name, table in model.rates.items() for r in table.collect()}
+        assert got == {k: pytest.approx((sum(v) + 2 * prior) / (len(v) + 2)) for k, v in by_key.items()}
+        with_parts = all_urls.withColumns({"h": url_filters.host_of(F.col("url")), "p": url_filters.path_of(F.col("url"))})
+        scores.append(sorted((r.url, r.x) for r in model.block_probability(with_parts, "url", "h", "p", "x").collect()))
+        assert sum((x >= 0.5) == (b == 1) for (_, x), (_, b) in zip(scores[-1], sorted(urls))) >= 0.97 * len(urls)
+    assert scores[0] == scores[1]
+    # the sample has distinct urls of both classes, and weighs what the rows weigh
+    sample = url_filters.training_urls(labelled.withColumn("blocked", F.col("blocked").cast("double")).where("url IS NOT NULL AND blocked IS NOT NULL"),
+                                       {b: (sum(x == b for _, x in rows[:450]), sum(x == b for _, x in urls)) for b in (0, 1)}, 60).collect()
+    assert len({r.url for r in sample}) == len(sample) == 60 and {r.blocked for r in sample} == {0.0, 1.0}
+    assert sum(r.weight for r in sample) == pytest.approx(450)
+
+
 # -- licences
 
 

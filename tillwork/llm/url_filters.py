@@ -2,7 +2,7 @@
 
 DataFrame functions and Spark ML only.  The features are lengths, depth, digit and hyphen
 ratios, character entropy, parameter counts, and the block rates of host suffixes and of the
-first path segment among the training URLs.
+first path segment among all labelled rows; only the trees are fitted on a sample.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwork.llm.spark_util import free_name, materialise
 
-#: training URLs at most: those with the least hash
+#: training URLs at most: of each class those with the least hash
 TRAIN_URLS = 10_000
+#: a statistic is broadcast up to this many keys and characters of keys; a larger one is joined by shuffle
+BROADCAST_KEYS, BROADCAST_CHARS = 50_000, 5_000_000
 TREES, DEPTH = 10, 4
 AZ, az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEAD = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -77,7 +79,8 @@ def statistic_keys(host: Column, path: Column) -> dict[str, Column]:
 
 @dataclass
 class UrlModel:
-    rates: dict[str, DataFrame]  # by statistic: (key, rate), of at most TRAIN_URLS keys
+    rates: dict[str, DataFrame]  # by statistic: (key, rate), of every key of the labelled rows
+    small: frozenset[str]  # the statistics that are broadcast
     prior: float
     trees: GBTClassificationModel | None  # None: one class only, the prior decides
 
@@ -86,40 +89,76 @@ class UrlModel:
         if self.trees is None:
             return urls.withColumn(out, F.lit(self.prior))
         keep = urls.columns
-        with_features = _features(urls, F.col(url_col), F.col(host_col), F.col(path_col), self.rates, self.prior)
+        with_features = _features(urls, F.col(url_col), F.col(host_col), F.col(path_col), self.rates, self.small, self.prior)
         scored = self.trees.transform(with_features)
         return scored.select(*keep, vector_to_array(self.trees.getProbabilityCol())[1].alias(out))
 
 
-def _features(urls: DataFrame, url: Column, host: Column, path: Column, rates: dict[str, DataFrame], prior: float) -> DataFrame:
+def _features(urls: DataFrame, url: Column, host: Column, path: Column, rates: dict[str, DataFrame], small: frozenset[str], prior: float) -> DataFrame:
     keys = statistic_keys(host, path)
     df = urls.withColumns({f"__{k}": v for k, v in keys.items()} | {f"__{k}": v for k, v in lexical_features(url, host, path).items()})
-    for name, table in rates.items():  # bounded by the training rows
-        df = df.join(F.broadcast(table.select(F.col("key").alias(f"__{name}"), F.col("rate").alias(f"__{name}_rate"))), f"__{name}", "left")
+    for name, table in rates.items():
+        table = table.select(F.col("key").alias(f"__{name}"), F.col("rate").alias(f"__{name}_rate"))
+        df = df.join(F.broadcast(table) if name in small else table, f"__{name}", "left")
         df = df.withColumn(f"__{name}_rate", F.coalesce(f"__{name}_rate", F.lit(prior)))
     columns = [f"__{k}" for k in LEXICAL] + [f"__{k}_rate" for k in STATISTICS]
     return VectorAssembler(inputCols=columns, outputCol="__features").transform(df)
 
 
+def block_rates(labelled: DataFrame, prior: float) -> tuple[dict[str, DataFrame], frozenset[str]]:
+    """By statistic the block rate of every key among all labelled (url, blocked), drawn to the
+    prior by two rows' weight; and the statistics that are small enough to broadcast."""
+    host, path = host_of(F.col("url")), path_of(F.col("url"))
+    keys = F.explode(F.array(*(F.struct(F.lit(k).alias("name"), v.alias("key")) for k, v in statistic_keys(host, path).items())))
+    rate = (F.sum("blocked") + F.lit(2.0 * prior)) / (F.count("*") + 2)
+    table = materialise(labelled.select("blocked", keys.alias("k")).groupBy("k.name", "k.key").agg(rate.alias("rate")))
+    sizes = table.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.char_length("key")).alias("chars")).collect()
+    small = frozenset(r["name"] for r in sizes if r.n <= BROADCAST_KEYS and r.chars <= BROADCAST_CHARS)
+    return {name: table.where(F.col("name") == name).select("key", "rate") for name in STATISTICS}, small
+
+
+def training_urls(labelled: DataFrame, classes: dict[float, tuple[int, int]], train_urls: int) -> DataFrame:
+    """(url, blocked, weight) of at most ``train_urls`` distinct (url, blocked): of each class those
+    with the least hash, the rarer class up to half.  A url weighs as many rows as it has, and a
+    class as many as it has in all.
+
+    classes -- by label its rows and about its distinct urls.
+    """
+    out, left = [], train_urls
+    for label, (rows, urls) in sorted(classes.items(), key=lambda c: c[1][1]):
+        wanted, share = left if out else max(1, train_urls // 2), 1.0
+        of_class = labelled.where(F.col("blocked") == label)
+        if urls > 2 * wanted:  # only hashes below a bound are grouped, with enough urls among them
+            share = 1.5 * wanted / urls
+        while True:
+            low = of_class if share >= 1 else of_class.where(F.xxhash64("url") < F.lit(int(-(2**63) + share * 2**64)))
+            picked = materialise(low.groupBy("url", "blocked").agg(F.count("*").alias("n")).orderBy(F.xxhash64("url"), "url").limit(wanted))
+            got, n = picked.agg(F.count("*"), F.sum("n")).first()
+            if got == wanted or share >= 1:
+                break
+            share *= 2
+        left -= got
+        out.append(picked.select("url", "blocked", (F.col("n") * (rows / n)).alias("weight")))
+    return out[0].union(out[1])
+
+
 def fit_urls(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked", train_urls: int = TRAIN_URLS) -> UrlModel:
-    """Fit on at most ``train_urls`` of the labelled URLs (label 1: block, 0: allow; null urls and
-    labels are left out; a repeated URL counts as often as it comes)."""
-    picked = (labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("blocked"))
-              .where("url IS NOT NULL AND blocked IS NOT NULL").orderBy(F.xxhash64("url"), "url", "blocked").limit(train_urls))
-    picked = materialise(picked.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))}))
-    n, hits = picked.agg(F.count("*"), F.sum("blocked")).first()
-    prior = (hits or 0.0) / n if n else 0.0
+    """Block rates of all labelled URLs, and trees fitted on at most ``train_urls`` distinct ones
+    (label 1: block, 0: allow; null urls and labels are left out; a repeated URL counts as often as
+    it comes)."""
+    labelled = (labelled.select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("blocked"))
+                .where("url IS NOT NULL AND blocked IS NOT NULL"))
+    classes = {r.blocked: (r.n, r.urls) for r in labelled.groupBy("blocked").agg(F.count("*").alias("n"), F.approx_count_distinct("url").alias("urls")).collect()}
+    n = sum(rows for rows, _ in classes.values())
+    prior = classes.get(1.0, (0, 0))[0] / n if n else 0.0
     if not 0 < prior < 1:
-        return UrlModel({}, prior, None)
-    keyed = picked.withColumns(statistic_keys(F.col("host"), F.col("path")))
-    rates = {}
-    for name in STATISTICS:
-        rate = (F.sum("blocked") + F.lit(2.0 * prior)) / (F.count("*") + 2)
-        rates[name] = materialise(keyed.groupBy(F.col(name).alias("key")).agg(rate.alias("rate")))
-    train = _features(picked, F.col("url"), F.col("host"), F.col("path"), rates, prior).orderBy("url", "blocked").coalesce(1)
-    trees = GBTClassifier(labelCol="blocked", featuresCol="__features", predictionCol="__prediction",
+        return UrlModel({}, frozenset(), prior, None)
+    rates, small = block_rates(labelled, prior)
+    picked = training_urls(labelled, classes, train_urls).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    train = _features(picked, F.col("url"), F.col("host"), F.col("path"), rates, small, prior).orderBy("url", "blocked").coalesce(1)
+    trees = GBTClassifier(labelCol="blocked", featuresCol="__features", predictionCol="__prediction", weightCol="weight",
                           maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3)
-    return UrlModel(rates, prior, trees.setRawPredictionCol("__raw").setProbabilityCol("__probability").fit(train))
+    return UrlModel(rates, small, prior, trees.setRawPredictionCol("__raw").setProbabilityCol("__probability").fit(train))
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
