@@ -447,6 +447,25 @@ def test_hard_wrapped_licenses(spark):
     assert licenses.scan_licenses(frame(spark, [(1, listed)])).first().licenses == ["MIT", "BSD", "CC-BY-4.0"]
 
 
+def test_every_known_sentence_is_read(spark):
+    samples = {
+        "mitPermission": "Permission is hereby granted, free of charge, to any person obtaining a copy", "mitNotice": "The above copyright notice and this permission notice shall be included",
+        "iscPermission": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee",
+        "bsdUse": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "bsdSource": "Redistributions of source code must retain the above copyright notice", "bsdBinary": "Redistributions in binary form must reproduce the above copyright notice",
+        "bsdEndorse": "Neither the name of Foo may be used to endorse it", "asIs": "This work is provided \"as is\"", "gplLater": "either version 3 of the License, or (at your option) any later version",
+        "agpl3": "GNU Affero General Public License version 3", "lgpl3": "GNU Lesser General Public License, version 3", "lgpl21": "GNU Lesser General Public License version 2.1",
+        "gpl3": "GNU General Public License version 3", "gpl2": "GNU General Public License version 2", "gplAny": "GNU General Public License",
+        "apache2": "Licensed under the Apache License, Version 2.0", "apacheComply": "you may not use this file except in compliance with the License",
+        "mpl2": "Mozilla Public License, v. 2.0", "epl2": "Eclipse Public License v2.0", "mitReference": "Released under the MIT License", "bsdReference": "available under the BSD license",
+        "ccByNcSa4": "CC BY-NC-SA 4.0", "ccByNcNd4": "CC-BY-NC-ND 4.0", "ccByNc4": "Creative Commons Attribution-NonCommercial 4.0", "ccBySa4": "Creative\nCommons Attribution-ShareAlike 4.0",
+        "ccByNd4": "CC\nBY-ND 4.0", "ccBy4": "CC BY 4.0", "cc0": "We dedicate it to the public\ndomain", "allRights": "All rights\n# reserved", "copyright": "(c) 2021 Foo Inc"}
+    assert list(samples) == [name for name, _ in licenses.SENTENCES]
+    rows = list(enumerate(f"Some words. {t}. More words." for t in samples.values())) + [(99, "Leave it as is. See (c) there.")]
+    got = {r.doc_id: r.sentences for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    assert got == {i: [name] for i, name in enumerate(samples)} | {99: []}
+
+
 # -- SentencePiece
 
 

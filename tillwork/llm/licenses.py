@@ -24,6 +24,9 @@ ENDS = (
     r"\n[ \t\r#*/;%|>=_~+.-]*\n|\r[ \t]*\r",  # blank lines, of comments too
     r"[\r\n]+[ \t#*/;%|>]*(?:[0-9]{1,2}[.)]|\((?:[0-9]{1,2}|[abd-z]|[ivx]{2,4})\)|[•◦‣·–-])[ \t]+",
 )
+#: the licence words over line breaks; and with the words of known sentences that have none of them
+WORD = LICENSE_WORD.replace(" ", r"[ \t\r\n#*/;%|>]+")
+KNOWN_WORD = WORD + r"|as[^a-zA-Z0-9]+is|\(c\)"
 #: comes besides another identifier of the same line
 BESIDES = "gplLater"
 SENTENCES = (
@@ -86,8 +89,8 @@ RULES = (
 
 
 def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
-    """Identifiers of the text's licence sentences, in order; ``unknown`` for those that no known
-    sentence fits."""
+    """Identifiers of the text's licence sentences, in order; ``unknown`` for those with a licence
+    word that no known sentence fits."""
 
     def identify(sentence: Column) -> Column:
         plain = F.regexp_replace(F.translate(sentence, AZ, az), "\r\n?", "\n")
@@ -96,7 +99,7 @@ def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
             plain = F.regexp_replace(plain, _over_lines(pattern), f"<{name}>$0")
         lines = F.filter(F.split(plain, "\n"), lambda line: line.contains("<"))
         known = F.flatten(F.transform(lines, chosen))
-        unknown = F.when(sentence.rlike(LICENSE_WORD), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>"))
+        unknown = F.when(sentence.rlike(WORD), F.array(F.lit(UNKNOWN))).otherwise(F.array().cast("array<string>"))
         return F.when(F.size(known) > 0, known).otherwise(unknown)
 
     def chosen(line: Column) -> Column:
@@ -106,8 +109,8 @@ def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
                 first = F.when(line.contains(f"<{name}>"), name).otherwise(first)
         return F.array_compact(F.array(first, F.when(line.contains(f"<{BESIDES}>"), BESIDES)))
 
-    marked = F.filter(F.split(text, "(?i)" + "|".join(ENDS)), lambda s: s.rlike(LICENSE_WORD))
-    return F.when(text.rlike(LICENSE_WORD), F.flatten(F.transform(marked, identify))).otherwise(F.array().cast("array<string>"))
+    marked = F.filter(F.split(text, "(?i)" + "|".join(ENDS)), lambda s: s.rlike(KNOWN_WORD))
+    return F.when(text.rlike(KNOWN_WORD), F.flatten(F.transform(marked, identify))).otherwise(F.array().cast("array<string>"))
 
 
 def _over_lines(pattern: str) -> str:
