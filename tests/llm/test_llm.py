@@ -2,6 +2,7 @@
 with nulls, empty texts, long texts, ties, repeated rows, empty tables and clashing names."""
 
 import hashlib
+import itertools
 import os
 import random
 import re
@@ -264,6 +265,78 @@ def test_decontamination_finds_items_without_a_window(spark):
         assert {r.doc_id: r["items"] for r in got if r.contaminated} == want and len(got) == len(rows)
 
 
+def brute_holds(document, item, together=False):
+    """Holds the document the item?  Of lower-case words and numbers; slots are tried, not voted for.
+
+    Each alignment is one occurrence, or all are one ``together``: enough windows under one-to-one
+    values, by trying every assignment of values; a slot may stay without one.
+    """
+    token = lambda w: "#" if w.isdigit() else w
+    doc, its = document.split(), item.split()
+    d, t = [token(w) for w in doc], [token(w) for w in its]
+    starts = [p for p in range(len(t) - 7) if sum(x != "#" for x in t[p : p + 8]) >= 4]
+    if not starts:  # the whole sequence
+        same = sum(x != "#" for x in t) < 4
+        for q in range(len(d) - len(t) + 1):
+            if d[q : q + len(t)] == t and (not same or doc[q : q + len(t)] == its):
+                pairs = {(a, b) for a, b, x in zip(its, doc[q:], t) if x == "#"}
+                if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
+                    return True
+        return False
+    found = defaultdict(list)
+    for shift in range(-len(t), len(d)):
+        for p in starts:
+            if 0 <= p + shift <= len(d) - 8 and d[p + shift : p + shift + 8] == t[p : p + 8]:
+                found[0 if together else shift].append((p, {(its[p + k], doc[p + shift + k]) for k in range(8) if t[p + k] == "#"}))
+    for hits in found.values():
+        choices = defaultdict(set)
+        for a, b in set().union(*(pairs for _, pairs in hits)):
+            choices[a].add(b)
+        for values in itertools.product(*({None} | c for c in choices.values())):
+            to, used = set(zip(choices, values)), [v for v in values if v]
+            if len(set(used)) == len(used) and len({p for p, pairs in hits if pairs <= to}) >= min(6, 0.5 * len(starts)):
+                return True
+    return False
+
+
+def test_decontamination_against_brute_force(spark):
+    rnd = random.Random(31)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(4))
+    number = lambda: str(rnd.randrange(2, 60))
+    items = []
+    for i in range(60):  # short, usual and number-heavy ones
+        n, heavy = rnd.choice([(1, 0.5), (3, 0.4), (5, 0.2), (7, 0.6), (12, 0.2), (15, 0.3), (20, 0.2), (14, 0.8), (22, 0.75)])
+        items.append(" ".join(number() if rnd.random() < heavy else word() for _ in range(n)))
+
+    def variant(item):
+        kind, to = rnd.random(), {}
+        if kind < 0.4:  # other numbers, consistent
+            values = rnd.sample(range(100, 999), 99)
+            return " ".join(str(values[int(w)]) if w.isdigit() else w for w in item.split())
+        if kind < 0.6:  # other numbers, each by itself
+            return " ".join(number() if w.isdigit() else w for w in item.split())
+        if kind < 0.75:  # a part
+            ws = item.split()
+            return " ".join(ws[: max(1, int(len(ws) * rnd.random()))])
+        return item
+
+    rows = []
+    for i in range(250):
+        parts = []
+        for item in rnd.sample(items, rnd.choice([0, 1, 2])):
+            for _ in range(rnd.choice([1, 1, 2, 3])):
+                parts += [variant(item), " ".join(word() for _ in range(rnd.randrange(25, 40)))]
+        rows.append((i, " ".join([word(), *parts, word()])))
+    want = {i: [k for k, item in enumerate(items) if brute_holds(text, item)] for i, text in rows}
+    assert sum(map(bool, want.values())) > 100
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for limit in (10**6, 0):
+        got = {r.doc_id: r["items"] for r in decontamination.flag_contaminated(frame(spark, rows), bench, broadcast_windows=limit).collect()}
+        assert all(set(want[i]) <= set(got[i]) for i in want)
+        extra = [(i, k) for i in want for k in set(got[i]) - set(want[i])]  # parts of several copies that agree on their values
+        assert len(extra) < 10 and all(brute_holds(rows[i][1], items[k], together=True) for i, k in extra)
+
+
 # -- toxicity
 
 
