@@ -1,11 +1,12 @@
-"""SentencePiece encoding and decoding as shortest paths in weighted transducers.
+"""SentencePiece encoding and decoding as paths through a lexicon transducer.
 
-The model compiles to three transducers over characters: the normaliser (space marks and the
-leading mark), the lexicon (a trie of the pieces, each with its weight) and the byte fallback
-(a character that no piece holds, as its UTF-8 bytes).  An input is composed with them into
-a lattice, whose shortest path in the tropical semiring is the encoding.
+The lexicon is a trie of the pieces, each with its weight; a word is composed with it into a
+lattice of pieces.  The normaliser (space marks and the leading mark) is string replacement, and
+the byte fallback (a character that no piece holds, as its UTF-8 bytes) a table: both map every
+character in one way only, so as transducers they would add arcs but no choice of path.
 
-* unigram models: the weight of a piece is its negative score.
+* unigram models: the weight of a piece is its negative score; the encoding is the shortest path
+  in the tropical semiring.
 * BPE models: a fourth transducer, composed lazily, accepts two neighbouring pieces only if
   merging by rank keeps the boundary between them.  A sequence whose neighbours all do is what
   merging the whole makes of it, so exactly one path is left and every search finds it; the
