@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import decontamination, fingerprints, licenses, minhash, secrets_scan, sentencepiece_fst, sharding, substring_dedup, toxicity, url_filters
+from tillwork.llm import decontamination, fill_middle, fingerprints, licenses, minhash, secrets_scan, sentencepiece_fst, sharding, substring_dedup, toxicity, url_filters, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.fill_middle(_table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_license_scans": op2_license_scans,
@@ -78,8 +88,11 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_sharding": op10_sharding,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scans": licenses.duckdb_sql("documents"),
+    "op12_fill_middle": fill_middle.duckdb_sql("documents"),
 }
