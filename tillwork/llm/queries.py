@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tillwork.llm import decontamination, fill_middle, fingerprints, licenses, minhash, secrets_scan, sentencepiece_fst, sharding, substring_dedup, toxicity, url_filters, whitening
+from tillwork.llm import decontamination, fill_middle, fingerprints, licenses, minhash, pii, secrets_scan, sentencepiece_fst, sharding, substring_dedup, toxicity, url_filters, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +67,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+    base = F.filter("spans", lambda s: s.kind != pii.TERM)
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in pii.KINDS), F.sha2(secrets_scan.joined(base), 256).alias("base_sha256"),
+                        secrets_scan.joined(F.col("spans")).alias("spans"), F.sha2("sanitised", 256).alias("sanitised_sha256"))
+
+
 def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fill_middle.fill_middle(_table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80)
     return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
@@ -88,6 +96,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_sharding": op10_sharding,
+    "op11_pii": op11_pii,
     "op12_fill_middle": op12_fill_middle,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
