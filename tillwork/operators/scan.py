@@ -36,10 +36,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tillwork.functions.util import to_col
 
-_KINDS = ("last", "count", "sum")
+_KINDS = ("last", "count", "sum", "max", "max_before")
 
 
 def _names(cols) -> list[str]:
@@ -58,16 +59,38 @@ def _order_cols(order, descending: bool) -> list[Column]:
     return out
 
 
-def _local_expr(kind: str, src: str | None, w) -> Column:
+def _local_expr(kind: str, src: str | None, w: WindowSpec) -> Column:
+    """Running value inside a segment; ``w`` has no frame yet."""
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if kind == "last":
-        return F.last(F.col(src), ignorenulls=True).over(w)
+        return F.last(F.col(src), ignorenulls=True).over(upto)
     if kind == "count":
-        return F.count(F.lit(1)).over(w)
+        return F.count(F.lit(1)).over(upto)
     if kind == "sum":
-        return F.sum(F.col(src)).over(w)
+        return F.sum(F.col(src)).over(upto)
+    if kind == "max":
+        return F.max(F.col(src)).over(upto)
+    if kind == "max_before":
+        return F.max(F.col(src)).over(w.rowsBetween(Window.unboundedPreceding, -1))
     raise ValueError(f"unknown scan kind {kind!r}")
 
 
+def _segment_end(kind: str, src: str | None, at: Column, descending: bool) -> Column:
+    """Aggregate of a segment: what it hands on to the later ones."""
+    if kind == "last":
+        return (F.min_by if descending else F.max_by)(F.col(src), F.when(F.col(src).isNotNull(), at))
+    if kind == "count":
+        return F.count(F.lit(1))
+    return F.sum(F.col(src)) if kind == "sum" else F.max(F.col(src))
+
+
+def _joined(kind: str, near: Column, far: Column) -> Column:
+    """Value of a segment under what earlier ones hand on."""
+    if kind == "last":
+        return F.coalesce(near, far)
+    return F.greatest(near, far) if kind.startswith("max") else F.coalesce(near + far, near, far)
+
+
 def _carried(segments: DataFrame, specs, keys: list[str], buckets: list[str], descending: bool) -> DataFrame:
     """``segments`` (one row per keys + buckets with its end values ``__tw_s_*``) with the
     value ``__tw_c_*`` that all earlier segments of the key carry into each."""
@@ -75,27 +98,23 @@ def _carried(segments: DataFrame, specs, keys: list[str], buckets: list[str], de
     group = keys + outer
     along = F.col(inner).desc_nulls_last() if descending else F.col(inner).asc_nulls_first()
     w = (Window.partitionBy(*group) if group else Window).orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
-    pick = F.min_by if descending else F.max_by
     cols, ends = {}, []
     for o, k, _ in specs:
         s = F.col(f"__tw_s_{o}")
-        cols[f"__tw_c_{o}"] = F.last(s, ignorenulls=True).over(w) if k == "last" else F.sum(s).over(w)
-        end = pick(s, F.when(s.isNotNull(), F.struct(inner))) if k == "last" else F.sum(s)
+        over = F.last(s, ignorenulls=True) if k == "last" else F.max(s) if k.startswith("max") else F.sum(s)
+        cols[f"__tw_c_{o}"] = over.over(w)
+        # what the whole group hands on, one level up
+        end = _segment_end("sum" if k == "count" else k, f"__tw_s_{o}", F.struct(inner), descending)
         ends.append(end.alias(f"__tw_s_{o}"))
     out = segments.withColumns(cols)
     if not outer:
         return out
+    level, up = f"__tw_g{len(outer)}", {f"__tw_c_{o}": f"__tw_a{len(outer)}_{o}" for o, _, _ in specs}
     above = _carried(segments.groupBy(*group).agg(*ends), specs, keys, outer, descending)
-    jn = {c: f"__tw_u{len(outer)}_{i}" for i, c in enumerate(group)}
-    up = {f"__tw_c_{o}": f"__tw_a{len(outer)}_{o}" for o, _, _ in specs}
-    above = above.select(*[F.col(c).alias(n) for c, n in jn.items()], *[F.col(c).alias(n) for c, n in up.items()])
-    out = out.join(above, on=[F.col(c).eqNullSafe(F.col(n)) for c, n in jn.items()], how="left")
-    combined = {}
-    for o, k, _ in specs:
-        c = f"__tw_c_{o}"
-        near, far = F.col(c), F.col(up[c])
-        combined[c] = F.coalesce(near, far) if k == "last" else F.coalesce(near + far, near, far)
-    return out.withColumns(combined).drop(*jn.values(), *up.values())
+    above = above.select(F.struct(*group).alias(level), *[F.col(c).alias(n) for c, n in up.items()])
+    out = out.join(above, F.struct(*group) == F.col(level), "left")
+    combined = {f"__tw_c_{o}": _joined(k, F.col(f"__tw_c_{o}"), F.col(up[f"__tw_c_{o}"])) for o, k, _ in specs}
+    return out.withColumns(combined).drop(level, *up.values())
 
 
 def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), order=("ord",),
@@ -104,7 +123,8 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
 
     ``kind``: ``last`` – last non-null ``src`` up to and including the row;
     ``count`` – running row count (1-based, = ``row_number``);
-    ``sum`` – running sum of ``src``.  ``descending`` scans from the end.
+    ``sum`` – running sum of ``src``; ``max`` – greatest ``src`` so far;
+    ``max_before`` – the same without the row itself.  ``descending`` scans from the end.
     ``null_keys="null"`` gives rows whose key has a null the result null
     (pandas ``groupby`` drops such rows); ``"group"`` treats null as a key.
     """
@@ -127,35 +147,23 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
         raise ValueError(f"unknown null_keys rule {null_keys!r}")
 
     order_cols = _order_cols(order, descending)
-    frame = (Window.unboundedPreceding, Window.currentRow)
-
     if not buckets:
-        w = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(*frame)
+        w = Window.partitionBy(*keys).orderBy(*order_cols)
         return df.withColumns({o: _local_expr(k, s, w) for o, k, s in specs})
 
-    bnames = [f"__tw_b{i}" for i in range(len(buckets))]
-    seg = keys + bnames
-    work = df.withColumns({n: to_col(b) for n, b in zip(bnames, buckets)})
-    w_local = Window.partitionBy(*seg).orderBy(*order_cols).rowsBetween(*frame)
-    local_names = {o: f"__tw_l_{o}" for o, _, _ in specs}
-    work = work.withColumns({local_names[o]: _local_expr(k, s, w_local) for o, k, s in specs})
-
-    # One row per segment: the scan value at the segment's final row.
-    order_struct = F.struct(*[to_col(c) for c in _names(order)])
-    pick = F.min_by if descending else F.max_by
-    seg_tbl = work.groupBy(*seg).agg(*[pick(F.col(local_names[o]), order_struct).alias(f"__tw_s_{o}")
-                                      for o, _, _ in specs])
-    seg_tbl = _carried(seg_tbl, specs, keys, bnames, descending).select(*seg, *[f"__tw_c_{o}" for o, _, _ in specs])
-    # Fresh names on the segment side: it descends from ``work``, and equal
-    # attribute ids on both sides would turn the join condition into c <=> c.
-    jn = {c: f"__tw_j{i}" for i, c in enumerate(seg)}
-    carry = [f"__tw_c_{o}" for o, _, _ in specs]
-    seg_tbl = seg_tbl.select(*[F.col(c).alias(jn[c]) for c in seg], *carry)
-
-    joined = work.join(seg_tbl, on=[F.col(c).eqNullSafe(F.col(jn[c])) for c in seg], how="left")
-    joined = joined.drop(*jn.values())
-    combined = {}
-    for o, k, _ in specs:
-        local, c = F.col(local_names[o]), F.col(f"__tw_c_{o}")
-        combined[o] = F.coalesce(local, c) if k == "last" else local + F.coalesce(c, F.lit(0))
-    return joined.withColumns(combined).drop(*bnames, *local_names.values(), *carry)
+    # A segment is one struct: nulls inside it compare as values, so that window, aggregate
+    # and join share one exchange (a null-safe join on columns would shuffle all rows again).
+    names = [f"__tw_k{i}" for i in range(len(keys))], [f"__tw_b{i}" for i in range(len(buckets))]
+    parts = [to_col(c).alias(n) for c, n in zip(keys + buckets, names[0] + names[1])]
+    w = Window.partitionBy("__tw_seg").orderBy(*order_cols)
+    work = df.withColumn("__tw_seg", F.struct(*parts))
+    # All local values come from one projection: a spec may overwrite the source of another.
+    work = work.withColumns({f"__tw_l_{o}": _local_expr(k, s, w) for o, k, s in specs})
+    at = F.struct(*[to_col(c) for c in _names(order)])
+    ends = work.groupBy("__tw_seg").agg(*[_segment_end(k, s, at, descending).alias(f"__tw_s_{o}") for o, k, s in specs])
+    ends = ends.select("__tw_seg.*", *[f"__tw_s_{o}" for o, _, _ in specs])
+    carried = _carried(ends, specs, *names, descending)
+    carried = carried.select(F.struct(*names[0], *names[1]).alias("__tw_of"), *[f"__tw_c_{o}" for o, _, _ in specs])
+    joined = work.join(carried, F.col("__tw_seg") == F.col("__tw_of"), "left")
+    out = joined.withColumns({o: _joined(k, F.col(f"__tw_l_{o}"), F.col(f"__tw_c_{o}")) for o, k, _ in specs})
+    return out.drop("__tw_seg", "__tw_of", *[f"__tw_{x}_{o}" for x in "lc" for o, _, _ in specs])
