@@ -73,9 +73,9 @@ def model(rows, reach=100, alpha=0.95, support=3):
             for w in (w.lower() for w in regex.findall(r"\p{L}+", near) if len(w) >= 3):
                 n_ct[c, w].add(t)
                 n_cg[c, w[:3]].add(t)
+                n_g[w[:3]].add(t)
         for w in runs[t]:
             n_t[w].add(t)
-            n_g[w[:3]].add(t)
     total = len(texts)
     tells = lambda c, both, n: math.log2(both * total / (len(n_c[c]) * n)) >= alpha * math.log2(total / len(n_c[c]))
     flagged = {(c, w) for (c, w), both in n_ct.items() if len(both) >= support and tells(c, len(both), len(n_t[w]))}

@@ -6,7 +6,8 @@ n(c) texts hold entity c, n(t) term t, n(c, t) have t within ``REACH`` character
 all.  The information of c is IC(c) = log2(N / n(c)); t discloses PMI(c; t) = log2(n(c, t) N /
 (n(c) n(t))) bits of it, at most IC(c).  A term that discloses a share ``alpha`` of any entity's
 information goes wherever it stands: it is generalised to its first letters if all terms that
-begin so disclose less than that share, else removed.
+begin so disclose less than that share, counted among the texts that tell of any entity, else
+removed.
 """
 
 from __future__ import annotations
@@ -181,13 +182,13 @@ def disclosing_terms(texts: DataFrame, reach: int = REACH, alpha: float = ALPHA,
     n_term = held.groupBy("term").agg(F.count("*").alias("n_t"))
     flagged = materialise(could.join(n_term, "term").where(told("n_t") >= alpha * information)
                           .select("entity", "term", "n_c", F.left("term", F.lit(STEM)).alias("stem")))
-    # generalised: the first letters, if the terms that begin so disclose less
+    # generalised: the first letters, if the terms that begin so disclose less even among the
+    # texts that tell of any entity (over all texts they disclose no more)
+    stemmed = near.where("term IS NOT NULL").select("entity", F.left("term", F.lit(STEM)).alias("stem"), "key")
     stems = flagged.where(F.char_length("term") > STEM + 1).select("entity", "stem", "n_c").distinct()
-    told_stem = (near.where("term IS NOT NULL").select("entity", F.left("term", F.lit(STEM)).alias("stem"), "key").distinct()
-                 .join(stems, ["entity", "stem"]).groupBy("entity", "stem", "n_c").agg(F.count("*").alias("n_ct")))
-    begun = words.select("key", F.left("term", F.lit(STEM)).alias("stem"))
-    n_stem = _narrow(begun, materialise(stems.select("stem").distinct()), "stem").distinct().groupBy("stem").agg(F.count("*").alias("n_g"))
-    worst = (told_stem.join(n_stem, "stem").groupBy("stem").agg(F.max((told("n_g") >= alpha * information).cast("int")).alias("worst")))
+    told_stem = stemmed.distinct().join(stems, ["entity", "stem"]).groupBy("entity", "stem", "n_c").agg(F.count("*").alias("n_ct"))
+    n_stem = stemmed.select("stem", "key").distinct().groupBy("stem").agg(F.count("*").alias("n_g"))
+    worst = told_stem.join(n_stem, "stem").groupBy("stem").agg(F.max((told("n_g") >= alpha * information).cast("int")).alias("worst"))
     general = F.when((F.col("worst") == 0) & (F.col("letters") > STEM + 1), F.concat(F.col("stem"), F.lit("…")))
     listed = (flagged.select("term", "stem", F.char_length("term").alias("letters")).distinct().join(worst, "stem", "left")
               .select("term", general.alias("generalised")))
