@@ -820,19 +820,13 @@ def split_inventory_input(spark, sf_dir):
 
 # The oracle is the closed form: an edit's layer lies on the stock b below it and keeps
 # min(its quantity, least later stay - b); each event takes what it makes that smaller.
-SPLIT_SQL = """
-WITH inp AS (
-  SELECT event_id, ts, 'F' || user_id AS family, event_type AS item,
-         CASE WHEN event_id % 10 = 0 OR event_id % 7 = 0 THEN -1 ELSE 1 END * CAST(CAST(trunc(value) AS BIGINT) + 1 AS DOUBLE) AS qty,
-         CASE WHEN event_id % 10 = 0 THEN 'C' || user_id || '-' || (event_id % 3) END AS target,
-         'I' || user_id AS invoice_id, 'N' || user_id AS invoice_no
-  FROM events),
-calls AS (SELECT family, ts, target, min(event_id) AS pos FROM inp WHERE target IS NOT NULL AND family IS NOT NULL GROUP BY ALL),
+# closed form over inp(event_id, ts, family, item, qty, target, log_type or none): portions p(event_id, target, qty)
+SPLIT_CTE = """calls AS (SELECT family, ts, target, min(event_id) AS pos FROM inp WHERE target IS NOT NULL AND family IS NOT NULL GROUP BY ALL),
 listed AS (SELECT family, ts, target, item, abs(sum(qty)) AS stays FROM inp WHERE target IS NOT NULL GROUP BY ALL),
 adds AS (SELECT * FROM inp WHERE target IS NULL AND qty > 0 AND family IS NOT NULL),
 things AS (SELECT DISTINCT family, item FROM adds),
 steps AS (
-  SELECT family, item, ts, event_id AS pos, qty AS q, NULL AS stays, NULL AS target FROM adds
+  SELECT family, item, ts, event_id AS pos, qty AS q, CAST(NULL AS DOUBLE) AS stays, CAST(NULL AS VARCHAR) AS target FROM adds
   UNION ALL
   SELECT c.family, t.item, c.ts, c.pos, 0, coalesce(l.stays, 0), c.target
   FROM calls c JOIN things t USING (family)
@@ -848,7 +842,16 @@ later AS (
          least(l.q, greatest(0, min(s.stays) OVER (PARTITION BY l.event_id ORDER BY s.rn ROWS UNBOUNDED PRECEDING) - l.b)) AS keeps
   FROM layers l JOIN heights s ON s.family = l.family AND s.item IS NOT DISTINCT FROM l.item AND s.rn > l.rn AND s.stays IS NOT NULL),
 moved AS (SELECT event_id, target, coalesce(lag(keeps) OVER (PARTITION BY event_id ORDER BY rn), q) - keeps AS qty FROM later),
-kept AS (SELECT l.event_id, NULL AS target, coalesce(min(t.keeps), min(l.q)) AS qty FROM layers l LEFT JOIN later t USING (event_id) GROUP BY l.event_id)
+kept AS (SELECT l.event_id, CAST(NULL AS VARCHAR) AS target, coalesce(min(t.keeps), min(l.q)) AS qty FROM layers l LEFT JOIN later t USING (event_id) GROUP BY l.event_id)"""
+
+SPLIT_SQL = f"""
+WITH inp AS (
+  SELECT event_id, ts, 'F' || user_id AS family, event_type AS item,
+         CASE WHEN event_id % 10 = 0 OR event_id % 7 = 0 THEN -1 ELSE 1 END * CAST(CAST(trunc(value) AS BIGINT) + 1 AS DOUBLE) AS qty,
+         CASE WHEN event_id % 10 = 0 THEN 'C' || user_id || '-' || (event_id % 3) END AS target,
+         'I' || user_id AS invoice_id, 'N' || user_id AS invoice_no
+  FROM events),
+{SPLIT_CTE}
 SELECT i.event_id, i.family, i.item, coalesce(p.target, i.invoice_id) AS invoice_id,
        CASE WHEN p.target IS NULL THEN i.invoice_no ELSE 'N' || p.target END AS invoice_no, p.qty
 FROM (SELECT * FROM moved UNION ALL SELECT * FROM kept) p JOIN inp i USING (event_id) WHERE p.qty > 0
@@ -865,6 +868,126 @@ def q_split_inventory(spark, sf_dir):
     return res.select("event_id", "family", "item", "invoice_id", "invoice_no", "qty")
 
 
+# X3 T2 T3 (J1 C9 C10 W2 W3 G1 G2 G3 T1): merged and split bills ------------------------------------
+# Eight events a bill.  By the bill number's rest of 5: 0 is merged into 1 (or into a bill that is
+# merged back, or into one that is not there), 1 now and then into the next 1 (chains), 2 is
+# neither, 3 is split into 4 (or into an absent bill), 4 now and then into the next 4.
+MERGE_NOTE, MERGED_NOTE = "Bàn 1 gộp vào {} - chuyển bàn", "[Gộp đơn] từ bàn 1"  # fixed values: the phrases
+SPLIT_NOTE, NEW_NOTE = "bỏ món ra, tạo thành hóa đơn {} - tách", "Hóa đơn được tạo mới từ bàn 2"  # of the log's notes
+
+
+def bill_log(spark, sf_dir) -> DataFrame:
+    """A change log as X2 gives it, with chains of merges, splits, cycles, absent targets, null
+    ids, null times, blank items and cancellations, from all events."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    eid = F.col("event_id")
+    b, r = F.floor(eid / 8), eid % 8
+    m, f = b % 5, F.floor(b / 5)
+    code = lambda n: F.concat(F.lit("HD"), F.lpad(n.cast("string"), 10, "0"))
+    absent = F.concat(F.lit("HDX"), F.lpad(b.cast("string"), 10, "0"))
+    merge_to = (F.when((m == 0) & (f % 14 == 2), code(b + 5)).when((m == 0) & (f % 14 == 3), code(b - 5))
+                .when((m == 0) & (f % 13 == 0), absent).when(m == 0, code(b + 1))
+                .when((m == 1) & (f % 10).isin(3, 4, 5), code(b + 5)))
+    split_to = F.when((m == 3) & (f % 11 == 0), absent).when(m == 3, code(b + 1)).when((m == 4) & (f % 4 == 0), code(b + 5))
+    is_merge = ((r == 7) & merge_to.isNotNull()) | ((r == 4) & (m == 1))
+    is_split = ((r >= 6) & split_to.isNotNull()) | ((r == 0) & (m == 4))
+    text = lambda pattern, c: F.concat(F.lit(pattern.split("{}")[0]), c, F.lit(pattern.split("{}")[1]))
+    note = (F.when((r == 7) & merge_to.isNotNull(), text(MERGE_NOTE, merge_to)).when((r == 4) & (m == 1), MERGED_NOTE)
+            .when((r == 6) & split_to.isNotNull(), text(SPLIT_NOTE, split_to)).when((r == 0) & (m == 4), NEW_NOTE)
+            .when(eid % 3 == 0, "").otherwise(None))
+    whole = (F.col("value").cast("bigint") + 1).cast("double")
+    seconds = b * 60 + F.when(is_split & (r >= 6), 6).otherwise(r)  # the rows of one split have one time
+    return ev.select(
+        F.struct(eid.alias("event_id"), F.lit(0).cast("long").alias("part")).alias("ord"), eid.alias("event_id"),
+        F.when(eid % 97 != 0, code(b)).alias("invoice_id"), F.concat(F.lit("N"), F.lpad(b.cast("string"), 8, "0")).alias("invoice_no"),
+        F.when(eid % 101 != 0, F.date_format(F.timestamp_seconds(F.lit(1704067200) + seconds), "yyyy/MM/dd HH:mm:ss")).alias("ts"),
+        F.concat(F.lit("B"), (b % 20).cast("string")).alias("table_name"), F.concat(F.lit("E"), (F.col("user_id") % 7).cast("string")).alias("employee"),
+        F.when(is_merge, "SALE_MERGE_ORDER").when(is_split, "SALE_SPLIT_ORDER").otherwise("SALE_CHANGE").alias("log_type"), note.alias("note"),
+        F.when(eid % 53 == 0, " ").when(eid % 4 == 0, F.concat(F.lit(" "), "event_type")).otherwise(F.col("event_type")).alias("item"),
+        F.when(eid % 89 == 0, None).when(is_split | (eid % 7 == 0), -whole).otherwise(whole).alias("qty"))
+
+
+BILL_LOG_CTE = f"""
+b0 AS (SELECT *, event_id // 8 AS b, event_id % 8 AS r FROM events),
+b1 AS (SELECT *, b % 5 AS m, b // 5 AS f, 'HDX' || lpad(CAST(b AS VARCHAR), 10, '0') AS absent FROM b0),
+b2 AS (SELECT *, CASE WHEN m = 0 AND f % 14 = 2 THEN b + 5 WHEN m = 0 AND f % 14 = 3 THEN b - 5 WHEN m = 0 AND f % 13 = 0 THEN -1
+                      WHEN m = 0 THEN b + 1 WHEN m = 1 AND f % 10 IN (3, 4, 5) THEN b + 5 END AS mb,
+              CASE WHEN m = 3 AND f % 11 = 0 THEN -1 WHEN m = 3 THEN b + 1 WHEN m = 4 AND f % 4 = 0 THEN b + 5 END AS sb FROM b1),
+b3 AS (SELECT *, CASE WHEN mb = -1 THEN absent WHEN mb >= 0 THEN 'HD' || lpad(CAST(mb AS VARCHAR), 10, '0') END AS merge_to,
+              CASE WHEN sb = -1 THEN absent WHEN sb >= 0 THEN 'HD' || lpad(CAST(sb AS VARCHAR), 10, '0') END AS split_to FROM b2),
+log AS (
+  SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN 'HD' || lpad(CAST(b AS VARCHAR), 10, '0') END AS invoice_id,
+         'N' || lpad(CAST(b AS VARCHAR), 8, '0') AS invoice_no,
+         CASE WHEN event_id % 101 <> 0 THEN strftime(TIMESTAMP '2024-01-01' + to_seconds(b * 60 + CASE WHEN r = 7 AND split_to IS NOT NULL THEN 6 ELSE r END), '%Y/%m/%d %H:%M:%S') END AS ts,
+         'B' || (b % 20) AS table_name, 'E' || (user_id % 7) AS employee,
+         CASE WHEN (r = 7 AND merge_to IS NOT NULL) OR (r = 4 AND m = 1) THEN 'SALE_MERGE_ORDER'
+              WHEN (r >= 6 AND split_to IS NOT NULL) OR (r = 0 AND m = 4) THEN 'SALE_SPLIT_ORDER' ELSE 'SALE_CHANGE' END AS log_type,
+         CASE WHEN r = 7 AND merge_to IS NOT NULL THEN replace('{MERGE_NOTE}', '{{}}', merge_to) WHEN r = 4 AND m = 1 THEN '{MERGED_NOTE}'
+              WHEN r = 6 AND split_to IS NOT NULL THEN replace('{SPLIT_NOTE}', '{{}}', split_to) WHEN r = 0 AND m = 4 THEN '{NEW_NOTE}'
+              WHEN event_id % 3 = 0 THEN '' END AS note,
+         CASE WHEN event_id % 53 = 0 THEN ' ' WHEN event_id % 4 = 0 THEN ' ' || event_type ELSE event_type END AS item,
+         CASE WHEN event_id % 89 = 0 THEN NULL WHEN (r >= 6 AND split_to IS NOT NULL AND NOT (r = 7 AND merge_to IS NOT NULL)) OR (r = 0 AND m = 4) OR event_id % 7 = 0
+              THEN -1 ELSE 1 END * CAST(CAST(trunc(value) AS BIGINT) + 1 AS DOUBLE) AS qty FROM b3)"""
+
+RESTRUCTURED_SQL = f"""
+WITH RECURSIVE {BILL_LOG_CTE.strip()},
+flagged AS (SELECT DISTINCT invoice_id FROM log WHERE log_type IN ('SALE_SPLIT_ORDER', 'SALE_MERGE_ORDER')),
+g0 AS (SELECT l.*, row_number() OVER (ORDER BY l.invoice_id NULLS LAST, l.ts NULLS LAST, l.event_id) AS o
+       FROM log l WHERE EXISTS (SELECT 1 FROM flagged x WHERE x.invoice_id IS NOT DISTINCT FROM l.invoice_id)),
+-- T2: merge notes, filled by number, followed to the end
+g1 AS (SELECT *, CASE WHEN note LIKE '%gộp vào%' THEN nullif(trim(split_part(split_part(note, 'gộp vào', 2), '-', 1)), '') END AS raw_to FROM g0),
+g2 AS (SELECT *, coalesce(last_value(raw_to IGNORE NULLS) OVER (PARTITION BY invoice_no ORDER BY o ROWS UNBOUNDED PRECEDING),
+                          first_value(raw_to IGNORE NULLS) OVER (PARTITION BY invoice_no ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS merge_to FROM g1),
+g3 AS (SELECT * FROM g2 WHERE note IS NULL OR note NOT LIKE '%[Gộp đơn]%'),
+merged AS (SELECT invoice_id AS src, arg_max_null(merge_to, o) AS dst FROM g3 WHERE invoice_id IS NOT NULL GROUP BY invoice_id),
+first_no AS (SELECT invoice_id AS id, arg_min_null(invoice_no, o) AS no FROM g3 WHERE invoice_id IS NOT NULL GROUP BY invoice_id),
+walk AS (
+  SELECT DISTINCT invoice_id AS start, invoice_id AS cur, CAST([] AS VARCHAR[]) AS seen FROM g3 WHERE invoice_id IS NOT NULL
+  UNION ALL
+  SELECT w.start, e.dst, list_append(w.seen, w.cur) FROM walk w JOIN merged e ON e.src = w.cur
+  WHERE e.dst IS NOT NULL AND e.dst <> w.cur AND NOT list_contains(w.seen, e.dst)),
+final AS (SELECT start, arg_max(cur, len(seen)) AS id FROM walk GROUP BY start),
+g4 AS (SELECT g3.* EXCLUDE (invoice_id, invoice_no, raw_to, merge_to), coalesce(final.id, g3.invoice_id) AS invoice_id, n.no AS invoice_no
+       FROM g3 LEFT JOIN final ON final.start = g3.invoice_id LEFT JOIN first_no n ON n.id = final.id),
+-- T3: split notes, filled by bill on split rows, parents followed to the root
+s1 AS (SELECT *, CASE WHEN note ILIKE '%bỏ món%' AND note ILIKE '%tạo thành hóa đơn%' THEN nullif(regexp_extract(note, '([A-Z0-9]{{10,}})\s*-', 1), '') END AS raw_to FROM g4),
+s2 AS (SELECT *, CASE WHEN log_type = 'SALE_SPLIT_ORDER' AND invoice_id IS NOT NULL THEN
+         coalesce(last_value(raw_to IGNORE NULLS) OVER (PARTITION BY invoice_id ORDER BY o ROWS UNBOUNDED PRECEDING),
+                  first_value(raw_to IGNORE NULLS) OVER (PARTITION BY invoice_id ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) END AS split_to FROM s1),
+pairs AS (SELECT invoice_id, split_to, min(o) AS o FROM s2 WHERE split_to IS NOT NULL GROUP BY ALL),
+parent AS (SELECT split_to AS src, arg_max(invoice_id, o) AS dst FROM pairs GROUP BY split_to),
+last_no AS (SELECT invoice_id AS id, arg_max_null(invoice_no, o) AS no FROM s2 WHERE invoice_id IS NOT NULL GROUP BY invoice_id),
+climb AS (
+  SELECT DISTINCT invoice_id AS start, invoice_id AS cur, CAST([] AS VARCHAR[]) AS seen FROM s2 WHERE invoice_id IS NOT NULL
+  UNION ALL
+  SELECT c.start, e.dst, list_append(c.seen, c.cur) FROM climb c JOIN parent e ON e.src = c.cur
+  WHERE e.dst IS NOT NULL AND e.dst <> c.cur AND NOT list_contains(c.seen, c.cur)),
+root AS (SELECT start, arg_max(cur, len(seen)) AS family FROM climb GROUP BY start),
+s3 AS (SELECT s2.* EXCLUDE (item, qty), root.family, nullif(trim(coalesce(item, 'nan')), '') AS item, coalesce(qty, 0) AS qty, n.no AS split_no,
+              row_number() OVER (ORDER BY ts NULLS LAST, right(coalesce(n.no, ''), 4), o) AS pos
+       FROM s2 LEFT JOIN root ON root.start = s2.invoice_id LEFT JOIN last_no n ON n.id = s2.split_to
+       WHERE (note IS NULL OR note NOT ILIKE '%hóa đơn được tạo mới%') AND (split_to IS NULL OR n.no IS NOT NULL)),
+inp AS (SELECT pos AS event_id, ts, family, item, qty, CASE WHEN log_type = 'SALE_SPLIT_ORDER' THEN split_to END AS target, split_no FROM s3
+        WHERE log_type IN ('SALE_CHANGE', 'SALE_SPLIT_ORDER') AND (log_type = 'SALE_CHANGE' OR split_to IS NOT NULL)),
+{{SPLIT_CTE}},
+portion AS (SELECT * FROM (SELECT * FROM moved UNION ALL SELECT * FROM kept) WHERE qty > 0)
+SELECT 'rest' AS source, event_id, invoice_id, invoice_no, ts, table_name, employee, log_type, item, coalesce(qty, 0) AS qty
+FROM g4 WHERE log_type <> 'SALE_SPLIT_ORDER'
+UNION ALL
+SELECT 'stock', s.event_id, coalesce(p.target, s.invoice_id), CASE WHEN p.target IS NULL THEN s.invoice_no ELSE n.no END, s.ts, s.table_name, s.employee, s.log_type, s.item, p.qty
+FROM portion p JOIN s3 s ON s.pos = p.event_id LEFT JOIN last_no n ON n.id = p.target
+""".replace("{SPLIT_CTE}", SPLIT_CTE)
+
+
+@register("restructured_bills", RESTRUCTURED_SQL)
+def q_restructured_bills(spark, sf_dir):
+    from tillwork.plans.pipeline import JobConfig, restructured
+
+    out = restructured(bill_log(spark, sf_dir), JobConfig())
+    source = F.when(F.col("ord.src") == 0, "rest").otherwise("stock")
+    return out.select(source.alias("source"), "event_id", "invoice_id", "invoice_no", "ts", "table_name", "employee", "log_type", "item", "qty")
+
+
 # Landed pages → entries → flattened change log ------------------------------------------
 # Pages are built by Spark from events: one page per (store = user_id % 5,
 # page = event_id div 100), so a page holds at most 100 entries; the payload
@@ -1100,7 +1223,7 @@ def _pages(df, store, page, entry, shape: str):
 def daily_job_inputs(spark, sf_dir):
     from tillwork.plans.standins import customer_fields
     from tillwork.sources.invoices import attach_details, details_from_bodies, invoices_from_pages, stores
-    from tillwork.sources.pages import entries_from_pages, flatten_change_log
+    from tillwork.sources.pages import CHANGE_LOG_ENTRY, entries_from_pages, flatten_change_log
 
     dim = stores(spark, {f"S{i}": f"Cửa hàng {i}" for i in range(5)})  # fixed 5-store dimension
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
@@ -1153,7 +1276,7 @@ def daily_job_inputs(spark, sf_dir):
         F.when(ln == 7, F.lit("PRINT")).otherwise(F.lit("SALE_CHANGE")).alias("log_type"),
         F.lit("{}").alias("extra_data"), cd.alias("change_data"))
     log_pages = _pages(lps, lk % 5, F.floor(lk / 20), F.struct(order_key.alias("o"), entry.alias("e")), "list")
-    flat = flatten_change_log(entries_from_pages(log_pages, __import__("tillwork.sources.pages", fromlist=["x"]).CHANGE_LOG_ENTRY, dim))
+    flat = flatten_change_log(entries_from_pages(log_pages, CHANGE_LOG_ENTRY, dim))
     return flat, lines
 
 

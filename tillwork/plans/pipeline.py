@@ -25,6 +25,7 @@ from tillwork.functions import predicates as P
 from tillwork.functions import scalars as S
 from tillwork.operators import aggregates as A
 from tillwork.operators import deduct, fill, joins, keys, links, nested, rows, splits
+from tillwork.session import checkpointed
 
 TOPPING_JSON = "struct<item_name:string,price:double,quantity:double,amount:double,item_id:string,sku:string>"
 
@@ -76,10 +77,7 @@ def stage(df: DataFrame, cfg: JobConfig) -> DataFrame:
     round-trip for these wide rows.)"""
     if not cfg.checkpoint_stages:
         return df
-    from tillwork.session import checkpoint_dir
-
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return checkpointed(df)
 
 
 def nulls_last_key(*cols) -> list[Column]:
@@ -127,6 +125,7 @@ def invoice_items(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
         F.col("__x_customer_phone").alias("phone"),
     )
     df = df.withColumn("customer_type", S.classify_customer("customer", "phone", "membership"))
+    df = stage(df, cfg)  # parsed once, though the scans read it in several branches
     fill_cols = [c for c in INVOICE_ITEM_LAYOUT if c not in ("membership", "customer", "phone", "invoice_no")]
     df = fill.fill_group_then_global(df, "invoice_no", fill_cols, order=["ord"], bucket=ingest_bucket(cfg),
                                      semantics=cfg.semantics)
@@ -154,7 +153,7 @@ def order_log_items(flat: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     parsed_id = F.col("change_tran_id") if "change_tran_id" in df.columns else F.lit(None).cast("string")
     header_ok = F.col("change_parsed") if "change_parsed" in df.columns else F.lit(False)
     cd_id = F.when(header_ok, parsed_id).otherwise(N.extract_id("change_data", "tran_id"))
-    df = df.withColumn("tran_id", F.coalesce(cd_id, F.col("tran_id")))
+    df = stage(df.withColumn("tran_id", F.coalesce(cd_id, F.col("tran_id"))), cfg)
     df = stage(fill.carry_sign(df, "tran_id", "quantity", S.starts_with("item_name", "+"), order=["ord"],
                                bucket=ingest_bucket(cfg)), cfg)
     df = df.select("ord", F.col("tran_id").alias("invoice_id"), F.col("tran_no").alias("invoice_no"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,3 +58,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         conf_dir = fallback
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder (a reliable checkpoint computes it
+    once): for a frame that several branches of a later plan read, each of which would compute
+    it again, as their different columns keep Spark from reusing the exchange."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
