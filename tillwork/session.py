@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     it again, as their different columns keep Spark from reusing the exchange."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder, for rounds of a loop: unlike a
+    checkpoint it has the size of its files as statistics, not the product of all joins before.
+    The files go when the session's JVM ends."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
