@@ -75,13 +75,11 @@ def _local_expr(kind: str, src: str | None, w: WindowSpec) -> Column:
     raise ValueError(f"unknown scan kind {kind!r}")
 
 
-def _segment_end(kind: str, src: str | None, at: Column, descending: bool) -> Column:
-    """Aggregate of a segment: what it hands on to the later ones."""
+def _group_end(kind: str, src: str, along: str, descending: bool) -> Column:
+    """Aggregate of a group of segments: what it hands on to the later groups."""
     if kind == "last":
-        return (F.min_by if descending else F.max_by)(F.col(src), F.when(F.col(src).isNotNull(), at))
-    if kind == "count":
-        return F.count(F.lit(1))
-    return F.sum(F.col(src)) if kind == "sum" else F.max(F.col(src))
+        return (F.min_by if descending else F.max_by)(F.col(src), F.when(F.col(src).isNotNull(), F.struct(along)))
+    return F.max(F.col(src)) if kind.startswith("max") else F.sum(F.col(src))
 
 
 def _joined(kind: str, near: Column, far: Column) -> Column:
@@ -104,8 +102,7 @@ def _carried(segments: DataFrame, specs, keys: list[str], buckets: list[str], de
         over = F.last(s, ignorenulls=True) if k == "last" else F.max(s) if k.startswith("max") else F.sum(s)
         cols[f"__tw_c_{o}"] = over.over(w)
         # what the whole group hands on, one level up
-        end = _segment_end("sum" if k == "count" else k, f"__tw_s_{o}", F.struct(inner), descending)
-        ends.append(end.alias(f"__tw_s_{o}"))
+        ends.append(_group_end(k, f"__tw_s_{o}", inner, descending).alias(f"__tw_s_{o}"))
     out = segments.withColumns(cols)
     if not outer:
         return out
@@ -160,8 +157,10 @@ def scan(df: DataFrame, specs: Sequence[tuple[str, str, str | None]], keys=(), o
     # All local values come from one projection: a spec may overwrite the source of another.
     work = work.withColumns({f"__tw_l_{o}": _local_expr(k, s, w) for o, k, s in specs})
     at = F.struct(*[to_col(c) for c in _names(order)])
-    ends = work.groupBy("__tw_seg").agg(*[_segment_end(k, s, at, descending).alias(f"__tw_s_{o}") for o, k, s in specs])
-    ends = ends.select("__tw_seg.*", *[f"__tw_s_{o}" for o, _, _ in specs])
+    # A segment hands on the running values of its final row, all in one aggregate.
+    handed = [(F.greatest(f"__tw_l_{o}", s) if k == "max_before" else F.col(f"__tw_l_{o}")).alias(f"__tw_s_{o}") for o, k, s in specs]
+    ends = work.groupBy("__tw_seg").agg((F.min_by if descending else F.max_by)(F.struct(*handed), at).alias("__tw_end"))
+    ends = ends.select("__tw_seg.*", "__tw_end.*")
     carried = _carried(ends, specs, *names, descending)
     carried = carried.select(F.struct(*names[0], *names[1]).alias("__tw_of"), *[f"__tw_c_{o}" for o, _, _ in specs])
     joined = work.join(carried, F.col("__tw_seg") == F.col("__tw_of"), "left")
