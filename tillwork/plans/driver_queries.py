@@ -628,6 +628,48 @@ def q_extract_fields(spark, sf_dir):
     )
 
 
+# N1-N5 on texts whose quotes or ends mislead a reader ------------------------------------------------
+# (list text, dict text, entries of the Python list, guests, customer, id) by event_id % 8
+MISLEADING = (
+    ("[{'item_name': 'Tra, None, da', 'quantity': None}]", "{'peo_count': 4, 'customer_name': 'A, null, B', 'tran_id': 'D1'}", 1, 4, "A, null, B", "D1"),
+    ("[{'item_name': 'a'}],'k':2", "{'peo_count': 4},'k':{}", 0, 0, "", None),
+    ("[{'item_name': 'a'}],[{'item_name': 'b'}]", "{'peo_count': 4}]", 0, 0, "", None),
+    ("[{'item_name': 'None'}, {'item_name': '[True]', 'flag': True}]", "{'peo_count': 2, 'customer_name': 'True], x', 'flag': False}", 2, 2, "True], x", None),
+    ("[{'item_name': 'it\\'s None', 'quantity': 1}]", "{'customer_name': 'x', 'd': {'peo_count': 9}, 'tran_id': 'D4'}", 1, 0, "x", "D4"),
+    ("[{'item_name': 'a', 'flag': null}]", "{'peo_count': null}", 0, 0, "", None),
+    ("[{'item_name': 'a', 'tags': [None, 'x]']}]],[[", "[{'tran_id': 'D6'}, {'tran_id': 'null, D6'}]", 0, 0, "", "null, D6"),
+    ("[]", "{'peo_count': 3, 'customer_name': '}', 'tran_id': 'D7'},'x':{'y':1}", 0, 0, "", None),
+)
+
+
+def _by_rest(values) -> str:
+    return " ".join(f"WHEN {i} THEN {_sql_text(v)}" for i, v in enumerate(values))
+
+
+def _sql_text(v) -> str:
+    return "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+
+
+@register("misleading_texts", f"""
+SELECT event_id, CASE event_id % 8 {_by_rest([m[2] for m in MISLEADING])} END AS n_items,
+       CASE event_id % 8 WHEN 0 THEN 'Tra, None, da' WHEN 3 THEN 'None' WHEN 4 THEN 'it''s None' END AS first_name,
+       CASE event_id % 8 WHEN 3 THEN '[True]' END AS flagged_name,
+       CASE event_id % 8 {_by_rest([m[3] for m in MISLEADING])} END AS peo_count,
+       CASE event_id % 8 {_by_rest([m[4] for m in MISLEADING])} END AS customer_name,
+       CASE event_id % 8 {_by_rest([m[5] for m in MISLEADING])} END AS tran_id
+FROM events
+""")
+def q_misleading_texts(spark, sf_dir):
+    case = lambda i: F.get(F.array(*[F.lit(m[i]) for m in MISLEADING]), (F.col("event_id") % 8).cast("int"))
+    ev = table(spark, sf_dir, "events").select("event_id", case(0).alias("items"), case(1).alias("extra"))
+    staged = N.with_dict_fields(ev, "extra", {"peo_count": ("int", 0), "customer_name": ("string", "")})
+    staged = staged.select("*", N.parse_list("items", "struct<item_name:string,quantity:double,flag:boolean>", style="python").alias("list"),
+                           N.extract_id("extra", "tran_id").alias("tran_id"))
+    return staged.select("event_id", F.size("list").alias("n_items"), F.get("list", F.lit(0))["item_name"].alias("first_name"),
+                         F.get(F.filter("list", lambda x: x["flag"]), F.lit(0))["item_name"].alias("flagged_name"),
+                         "peo_count", "customer_name", "tran_id")
+
+
 # Flagged history, exclusion, lookup ------------------------------------------------------
 @register("flagged_history", f"""
 WITH {LOG_CTE.strip()}
@@ -1280,6 +1322,26 @@ def daily_job_inputs(spark, sf_dir):
     return flat, lines
 
 
+# The change log under its display labels, written by date and read back ------------------
+@register("labelled_output", f"""
+WITH {BILL_LOG_CTE.strip()}
+SELECT invoice_id AS "Mã hoá đơn", invoice_no AS "Số hoá đơn", ts AS "Thời gian", employee AS "Nhân viên", log_type AS "Loại log",
+       note AS "Ghi chú", item AS "Món", qty AS "Số lượng order", coalesce(replace(substr(ts, 1, 10), '/', '-'), 'none') AS report_date
+FROM log
+""")
+def q_labelled_output(spark, sf_dir):
+    from tillwork.plans.pipeline import to_labels
+    from tillwork.session import fresh_folder
+    from tillwork.sources.sinks import read_dated, write_dated
+
+    day = F.coalesce(F.regexp_replace(F.substring("ts", 1, 10), "/", "-"), F.lit("none"))
+    log = bill_log(spark, sf_dir).select("invoice_id", "invoice_no", "ts", "employee", "log_type", "note", "item", "qty", day.alias("report_date"))
+    path = fresh_folder(spark, "labelled")
+    write_dated(to_labels(log), path)
+    saved = read_dated(spark, path)
+    return saved.withColumn("report_date", F.col("report_date").cast("string"))
+
+
 # Headers of landed pages, their store, their details ---------------------------------
 @register("attach_details", """
 WITH l AS (
@@ -1306,12 +1368,10 @@ SELECT report_date, event_id, user_id,
 FROM d
 """)
 def q_dated_sink(spark, sf_dir):
-    import uuid
-
-    from tillwork.session import checkpoint_dir
+    from tillwork.session import fresh_folder
     from tillwork.sources.sinks import read_dated, write_dated
 
-    path = f"{checkpoint_dir(spark)}/dated-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, "dated")
     log = table(spark, sf_dir, "events").select(F.date_format("ts", "yyyy-MM-dd").alias("report_date"), "event_id",
                                                 "user_id", "value")
     write_dated(log, path)

@@ -335,12 +335,12 @@ def to_labels(df: DataFrame, labels: dict[str, str] = LABELS) -> DataFrame:
 
 
 def write_outputs(result: dict[str, DataFrame], root: str) -> None:
-    """S7 for X7 and X8: priced sales and staff KPI by business date under ``root``;
-    a re-run replaces only the dates it has rows of."""
+    """S7 for X7 and X8: priced sales and staff KPI under their display labels, by business
+    date under ``root``; a re-run replaces only the dates it has rows of."""
     from tillwork.sources.sinks import write_dated
 
     for name in ("sales", "staff_kpi"):
-        write_dated(result[name].withColumn("report_date", F.regexp_replace("date", "/", "-")), f"{root}/{name}")
+        write_dated(to_labels(result[name].withColumn("report_date", F.regexp_replace("date", "/", "-"))), f"{root}/{name}")
 
 
 # X0 + whole job -------------------------------------------------------------------

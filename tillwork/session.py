@@ -69,13 +69,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder; what is written there goes when the
+    session's JVM ends."""
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` as a Parquet table in the shared checkpoint folder, for rounds of a loop: unlike a
-    checkpoint it has the size of its files as statistics, not the product of all joins before.
-    The files go when the session's JVM ends."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    checkpoint it has the size of its files as statistics, not the product of all joins before."""
+    path = fresh_folder(df.sparkSession, "written")
     df.write.parquet(path)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
