@@ -3,8 +3,9 @@
 Severity grades 0..K share one weight vector over sparse word features x; ordered
 thresholds t_1 < ... < t_K give P(grade >= k) = sigmoid(w x - t_k), and the expected
 severity is the sum of these.  Features are the presence of words that the labels tell
-apart (chi-squared over the training rows).  Copies and near copies in the training rows count
-once, so that the words of one much-copied text are no evidence.
+apart (chi-squared over the training rows, for every threshold).  A training row weighs one over
+the sum of its likenesses to the rows of its grade, itself included, so that the many copies and
+near copies of one text weigh about one together and no row is dropped.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tillwork.llm.words import NON_LETTERS, U, Words, distinct_pairs, mix, row_c
 TRAIN_ROWS = 20_000
 FEATURES, LEAST_DOCS, LEAST_CHI2 = 1024, 5, 30.0
 STEPS, RATE, RIDGE = 400, 0.1, 0.1
-#: training rows that agree in one of so many min-hashes of their 5-word shingles count once
-COPY_HASHES = 4
+#: min-hashes of 5-word shingles from which likenesses are estimated: the mean count of rows that agree in one
+COPY_HASHES = 8
 NAMES = ("severity", "grade", "toxic")
 
 
@@ -54,11 +55,13 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * z))
 
 
-def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int, grades: int) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_features: int, grades: int, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) by full-batch gradient steps on the ridge-penalised likelihood;
     gaps between thresholds are exponentials, so they stay in order."""
     n = len(grade)
-    share = [(np.sum(grade >= k) + 0.5) / (n + 1) for k in range(1, grades + 1)]
+    weight = np.ones(n) if weight is None else weight
+    total = weight.sum()
+    share = [(np.sum(weight * (grade >= k)) + 0.5) / (total + 1) for k in range(1, grades + 1)]
     first = -np.log(share / (1 - np.array(share)))
     theta = np.concatenate((np.zeros(n_features), first[:1], np.log(np.maximum(np.diff(first), 1e-2))))
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
@@ -69,14 +72,14 @@ def fit_ordinal(doc: np.ndarray, feature: np.ndarray, grade: np.ndarray, n_featu
         slope = above * (1 - above)
         row = np.arange(n)
         p = np.maximum(above[row, grade] - above[row, grade + 1], 1e-12)
-        dz = -(slope[row, grade] - slope[row, grade + 1]) / p
+        dz = -weight * (slope[row, grade] - slope[row, grade + 1]) / p
         dt = np.zeros((n, grades + 2))
         dt[row, grade] += slope[row, grade] / p
         dt[row, grade + 1] -= slope[row, grade + 1] / p
-        dt = dt[:, 1:-1].sum(axis=0)
+        dt = (weight[:, None] * dt[:, 1:-1]).sum(axis=0)
         gaps = np.cumsum(dt[::-1])[::-1]
         gaps[1:] *= np.exp(theta[n_features + 1 :])
-        grad = np.concatenate((np.bincount(feature, dz[doc], n_features) + RIDGE * w, gaps)) / n
+        grad = np.concatenate((np.bincount(feature, dz[doc], n_features) + RIDGE * w, gaps)) / total
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         theta = theta - RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     return theta[:n_features], np.cumsum(np.concatenate((theta[n_features : n_features + 1], np.exp(theta[n_features + 1 :]))))
@@ -111,33 +114,38 @@ def word_features(docs: DataFrame) -> DataFrame:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, grade: Column, grades: int, toxic_from: int, id_col: str = "doc_id", text_col: str = "text",
                  train_rows: int = TRAIN_ROWS) -> OrdinalModel:
     """Fit on at most ``train_rows`` labelled rows; ``grade`` is a column over ``labels`` with
-    values 0..grades.  Null grades, ids and texts are left out, equal (text, grade) rows count
-    once; without labelled rows every text has grade 0."""
+    values 0..grades.  Null grades, ids and texts are left out, equal (text, grade) rows share
+    one weight; without labelled rows every text has grade 0."""
     picked = (labels.select(F.col(id_col).cast("long").alias("doc_id"), grade.cast("int").alias("grade"))
               .where("doc_id IS NOT NULL AND grade IS NOT NULL").distinct()
               .orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(train_rows))
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = word_features(text.join(F.broadcast(picked), "doc_id").select("text", "grade"))
     rows = materialise(rows)
-    for k in range(COPY_HASHES):  # of the rows that agree in a hash and the grade, the least text hash stays
-        first = rows.groupBy(F.col("copies")[k].alias("copy"), "grade").agg(F.min("text_hash").alias("text_hash"))
-        rows = rows.join(first.select("grade", "text_hash").distinct(), ["grade", "text_hash"], "left_semi")
-    rows = materialise(rows.dropDuplicates(["text_hash", "grade"]).drop("copies"))
-    n, hits = rows.agg(F.count("*"), F.sum((F.col("grade") >= toxic_from).cast("long"))).first()
-    p = (hits or 0) / n if n else 0.0
+    like = F.lit(0.0)
+    for k in range(COPY_HASHES):
+        again = rows.groupBy(F.col("copies")[k].alias("copy"), F.col("grade").alias("of")).agg(F.count("*").alias(f"n{k}"))
+        rows = rows.join(again, (F.col("copies")[k] == F.col("copy")) & (F.col("grade") == F.col("of"))).drop("copy", "of")
+        like = like + F.col(f"n{k}")
+    rows = materialise(rows.select("grade", "text_hash", "features", (COPY_HASHES / like).alias("weight")))
+    count = rows.agg(F.sum("weight"), *(F.sum(F.when(F.col("grade") >= k, F.col("weight"))) for k in range(1, grades + 1))).first()
+    share = [(c or 0.0) / count[0] if count[0] else 0.0 for c in count[1:]]
+    p = share[toxic_from - 1]
     if not 0 < p < 1:
         return OrdinalModel(np.empty(0, np.int64), np.empty(0), np.linspace(-20.0 if p else 20.0, 21.0, grades), toxic_from)
-    stats = (rows.select((F.col("grade") >= toxic_from).cast("long").alias("hit"), F.explode("features").alias("word"))
-             .groupBy("word").agg(F.count("*").alias("n"), F.sum("hit").alias("hits"))
-             .withColumn("chi2", (F.col("hits") - F.col("n") * p) ** 2 / (F.col("n") * (p * (1 - p)))))
+    above = lambda k: F.sum(F.when(F.col("grade") >= k, F.col("weight")).otherwise(0.0))
+    apart = [(F.col(f"hits{k}") - F.col("n") * q) ** 2 / (F.col("n") * (q * (1 - q))) for k, q in enumerate(share, 1) if 0 < q < 1]
+    stats = (rows.select("grade", "weight", F.explode("features").alias("word"))
+             .groupBy("word").agg(F.sum("weight").alias("n"), *(above(k).alias(f"hits{k}") for k in range(1, grades + 1)))
+             .withColumn("chi2", F.greatest(*apart, F.lit(0.0))))
     words = sorted(r[0] for r in stats.where((F.col("n") >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2))
                    .orderBy(F.desc("chi2"), "word").limit(FEATURES).select("word").collect())
     chosen = F.array(*(F.lit(w) for w in words)) if words else F.array().cast("array<long>")
-    train = rows.select("grade", "text_hash", F.array_intersect("features", chosen).alias("features")).orderBy("text_hash", "grade").collect()
+    train = rows.select("grade", "weight", "text_hash", F.array_intersect("features", chosen).alias("features")).orderBy("text_hash", "grade").collect()
     vocabulary = np.array(words, np.int64)
     doc = np.repeat(np.arange(len(train)), [len(r.features) for r in train])
     feature = np.searchsorted(vocabulary, np.array([w for r in train for w in r.features], np.int64))
-    weights, thresholds = fit_ordinal(doc, feature, np.array([r.grade for r in train]), len(vocabulary), grades)
+    weights, thresholds = fit_ordinal(doc, feature, np.array([r.grade for r in train]), len(vocabulary), grades, np.array([r.weight for r in train]))
     return OrdinalModel(vocabulary, weights, thresholds, toxic_from)
 
 
