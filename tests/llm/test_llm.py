@@ -403,6 +403,49 @@ def test_url_trees_held_out(spark):
     assert right.agg(F.avg("ok")).first()[0] >= 0.95
 
 
+def test_url_verdicts_on_held_out_hosts(spark):
+    """Hosts of the test are not in the fit; blocked ones have digits, hyphens and long queries."""
+    rnd = random.Random(9)
+    urls = []
+    for i in range(900):
+        bad = i % 3 == 0
+        host = f"{prose(rnd, 1)}-{rnd.randrange(10**5)}.{prose(rnd, 1)}.{rnd.choice(['com', 'org', 'info'])}" if bad else f"{prose(rnd, 1)}.{prose(rnd, 1)}{i}.{rnd.choice(['com', 'org', 'info'])}"
+        urls.append((f"http://{host}/{rnd.choice(['a', 'b', 'go'])}/{rnd.randrange(10 ** (9 if bad else 3))}", int(bad)))
+    df = spark.createDataFrame(urls, "url string, blocked int").withColumns({"h": url_filters.host_of(F.col("url")), "p": url_filters.path_of(F.col("url"))})
+    inside = F.xxhash64("h") % 2 == 0
+    model = url_filters.fit_urls(df.where(inside).select("url", "blocked"))
+    scored = model.block_probability(df.where(~inside), "url", "h", "p", "x")
+    assert scored.select(F.avg(((F.col("x") >= 0.5) == (F.col("blocked") == 1)).cast("int"))).first()[0] >= 0.95
+    importance = model.trees.featureImportances.toArray()[: len(url_filters.LEXICAL)]
+    assert importance.sum() > 0.9
+
+
+def test_ordinal_fit_is_the_least_penalised_loss():
+    """Brute force: no small step from the fitted weights and thresholds lessens the weighted loss."""
+    rnd = np.random.default_rng(3)
+    n, k = 60, 4
+    x = rnd.random((n, k)) < 0.4
+    grade = np.clip((x @ np.array([2.0, -1.0, 1.0, 0.0]) + rnd.normal(size=n)).round(), 0, 2).astype(int)
+    weight = rnd.choice([0.25, 0.5, 1.0], n)
+    doc, feature = np.nonzero(x)
+
+    def loss(w, t):
+        above = np.column_stack([np.ones(n), 1 / (1 + np.exp(-((x @ w)[:, None] - t))), np.zeros(n)])
+        p = above[np.arange(n), grade] - above[np.arange(n), grade + 1]
+        return -(weight * np.log(p)).sum() + 0.5 * toxicity.RIDGE * (w**2).sum()
+
+    w, t = toxicity.fit_ordinal(doc, feature, grade, k, 2, weight)
+    best = loss(w, t)
+    for step in (0.3, 0.1):
+        for i in range(k + 2):
+            for sign in (-step, step):
+                moved = np.concatenate((w, t))
+                moved[i] += sign
+                assert loss(moved[:k], moved[k:]) > best
+    heavy = toxicity.fit_ordinal(np.concatenate((doc, doc + n)), np.concatenate((feature, feature)), np.concatenate((grade, grade)), k, 2, np.concatenate((weight, weight)) / 2)
+    assert np.allclose(heavy[0], w, atol=1e-6) and np.allclose(heavy[1], t, atol=1e-6)  # two halves weigh one
+
+
 def test_url_rates_cover_all_rows_and_a_hot_url_is_one(spark, monkeypatch):
     rnd = random.Random(4)
     urls = [(f"http://{'casino' if i % 3 == 0 else 'news'}.site{rnd.randrange(40)}.com/{rnd.choice('abc')}/{i}", int(i % 3 == 0)) for i in range(300)]
@@ -415,14 +458,26 @@ def test_url_rates_cover_all_rows_and_a_hot_url_is_one(spark, monkeypatch):
     for bound in (50_000, 0):  # broadcast, and join by shuffle
         monkeypatch.setattr(url_filters, "BROADCAST_KEYS", bound)
         model = url_filters.fit_urls(labelled, train_urls=60)
-        assert model.trees is not None and bool(model.small) == bool(bound)
-        by_key = defaultdict(list)
+        assert model.trees is not None and bool(model.rates.small) == bool(bound)
+        by_key, by_host = defaultdict(list), defaultdict(list)
         for u, b in rows[:450]:
             host, segment = re.match(r"http://([^/]*)/([^/]*)", u).groups()
             for name, key in [*((f"suffix{k}", ".".join(host.split(".")[-k:])) for k in (1, 2, 3)), ("segment", segment)]:
                 by_key[name, key].append(b)
-        got = {(name, r.key): r.rate for name, table in model.rates.items() for r in table.collect()}
-        assert got == {k: pytest.approx((sum(v) + 2 * prior) / (len(v) + 2)) for k, v in by_key.items()}
+                by_host[name, key, host].append(b)
+        got = {(name, r.key): (r.blocked, r.n) for name, table in model.rates.of_key.items() for r in table.collect()}
+        assert got == {k: (sum(v), len(v)) for k, v in by_key.items()}
+        got = {(name, r.key, r.host): (r.blocked, r.n) for name, table in model.rates.of_host.items() for r in table.collect()}
+        assert got == {k: (sum(v), len(v)) for k, v in by_host.items()}
+        # a row's rates leave out its own host: here no other host has the same three labels
+        parts = all_urls.withColumns({"h": url_filters.host_of(F.col("url")), "p": url_filters.path_of(F.col("url"))})
+        rates = url_filters._features(parts, F.col("url"), F.col("h"), F.col("p"), model.rates, prior).select("url", "__suffix2_rate", "__suffix3_rate").collect()
+        for r in rates:
+            host = re.match(r"http://([^/]*)/", r.url)[1]
+            site = ".".join(host.split(".")[-2:])
+            others = [b for (name, key, h), bs in by_host.items() if name == "suffix2" and key == site and h != host for b in bs]
+            assert r["__suffix2_rate"] == pytest.approx((sum(others) + 2 * prior) / (len(others) + 2))
+            assert r["__suffix3_rate"] == pytest.approx(prior)
         with_parts = all_urls.withColumns({"h": url_filters.host_of(F.col("url")), "p": url_filters.path_of(F.col("url"))})
         scores.append(sorted((r.url, r.x) for r in model.block_probability(with_parts, "url", "h", "p", "x").collect()))
         assert sum((x >= 0.5) == (b == 1) for (_, x), (_, b) in zip(scores[-1], sorted(urls))) >= 0.97 * len(urls)

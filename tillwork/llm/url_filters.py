@@ -2,7 +2,8 @@
 
 DataFrame functions and Spark ML only.  The features are lengths, depth, digit and hyphen
 ratios, character entropy, parameter counts, and the block rates of host suffixes and of the
-first path segment among all labelled rows; only the trees are fitted on a sample.
+first path segment among all labelled rows of *other hosts*: a row never sees its own label or
+its host's, neither in the fit nor when it is judged.  Only the trees are fitted on a sample.
 """
 
 from __future__ import annotations
@@ -78,9 +79,18 @@ def statistic_keys(host: Column, path: Column) -> dict[str, Column]:
 
 
 @dataclass
-class UrlModel:
-    rates: dict[str, DataFrame]  # by statistic: (key, rate), of every key of the labelled rows
+class Rates:
+    """Of each statistic: (key, blocked, n) of all labelled rows, and (key, host, blocked, n) of
+    a host's own."""
+
+    of_key: dict[str, DataFrame]
+    of_host: dict[str, DataFrame]
     small: frozenset[str]  # the statistics that are broadcast
+
+
+@dataclass
+class UrlModel:
+    rates: Rates | None
     prior: float
     trees: GBTClassificationModel | None  # None: one class only, the prior decides
 
@@ -89,32 +99,38 @@ class UrlModel:
         if self.trees is None:
             return urls.withColumn(out, F.lit(self.prior))
         keep = urls.columns
-        with_features = _features(urls, F.col(url_col), F.col(host_col), F.col(path_col), self.rates, self.small, self.prior)
+        with_features = _features(urls, F.col(url_col), F.col(host_col), F.col(path_col), self.rates, self.prior)
         scored = self.trees.transform(with_features)
         return scored.select(*keep, vector_to_array(self.trees.getProbabilityCol())[1].alias(out))
 
 
-def _features(urls: DataFrame, url: Column, host: Column, path: Column, rates: dict[str, DataFrame], small: frozenset[str], prior: float) -> DataFrame:
+def _features(urls: DataFrame, url: Column, host: Column, path: Column, rates: Rates, prior: float) -> DataFrame:
     keys = statistic_keys(host, path)
-    df = urls.withColumns({f"__{k}": v for k, v in keys.items()} | {f"__{k}": v for k, v in lexical_features(url, host, path).items()})
-    for name, table in rates.items():
-        table = table.select(F.col("key").alias(f"__{name}"), F.col("rate").alias(f"__{name}_rate"))
-        df = df.join(F.broadcast(table) if name in small else table, f"__{name}", "left")
-        df = df.withColumn(f"__{name}_rate", F.coalesce(f"__{name}_rate", F.lit(prior)))
+    df = urls.withColumns({f"__{k}": v for k, v in keys.items()} | {f"__{k}": v for k, v in lexical_features(url, host, path).items()} | {"__host": host})
+    for name in STATISTICS:
+        sized = (lambda t: F.broadcast(t)) if name in rates.small else (lambda t: t)
+        every = rates.of_key[name].select(F.col("key").alias(f"__{name}"), F.col("blocked").alias("__all"), F.col("n").alias("__all_n"))
+        own = rates.of_host[name].select(F.col("key").alias(f"__{name}"), F.col("host").alias("__host"), F.col("blocked").alias("__own"), F.col("n").alias("__own_n"))
+        df = df.join(sized(every), f"__{name}", "left").join(sized(own), [f"__{name}", "__host"], "left")
+        less = lambda all_, own_: F.coalesce(all_, F.lit(0.0)) - F.coalesce(own_, F.lit(0.0))
+        # drawn to the prior by two rows' weight
+        rate = (less("__all", "__own") + F.lit(2.0 * prior)) / (less("__all_n", "__own_n") + 2)
+        df = df.withColumn(f"__{name}_rate", rate).drop("__all", "__all_n", "__own", "__own_n")
     columns = [f"__{k}" for k in LEXICAL] + [f"__{k}_rate" for k in STATISTICS]
     return VectorAssembler(inputCols=columns, outputCol="__features").transform(df)
 
 
-def block_rates(labelled: DataFrame, prior: float) -> tuple[dict[str, DataFrame], frozenset[str]]:
-    """By statistic the block rate of every key among all labelled (url, blocked), drawn to the
-    prior by two rows' weight; and the statistics that are small enough to broadcast."""
+def block_rates(labelled: DataFrame) -> Rates:
+    """Blocked and all rows of every key, and of every key and host, of all labelled (url, blocked)."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     keys = F.explode(F.array(*(F.struct(F.lit(k).alias("name"), v.alias("key")) for k, v in statistic_keys(host, path).items())))
-    rate = (F.sum("blocked") + F.lit(2.0 * prior)) / (F.count("*") + 2)
-    table = materialise(labelled.select("blocked", keys.alias("k")).groupBy("k.name", "k.key").agg(rate.alias("rate")))
-    sizes = table.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.char_length("key")).alias("chars")).collect()
+    own = materialise(labelled.select("blocked", host.alias("host"), keys.alias("k")).groupBy("k.name", "k.key", "host")
+                      .agg(F.sum("blocked").alias("blocked"), F.count("*").cast("double").alias("n")))
+    every = materialise(own.groupBy("name", "key").agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n")))
+    sizes = own.groupBy("name").agg(F.count("*").alias("n"), F.sum(F.char_length("key") + F.char_length("host")).alias("chars")).collect()
     small = frozenset(r["name"] for r in sizes if r.n <= BROADCAST_KEYS and r.chars <= BROADCAST_CHARS)
-    return {name: table.where(F.col("name") == name).select("key", "rate") for name in STATISTICS}, small
+    of = lambda table: {name: table.where(F.col("name") == name).drop("name") for name in STATISTICS}
+    return Rates(of(every), of(own), small)
 
 
 def training_urls(labelled: DataFrame, classes: dict[float, tuple[int, int]], train_urls: int) -> DataFrame:
@@ -152,13 +168,13 @@ def fit_urls(labelled: DataFrame, url_col: str = "url", label_col: str = "blocke
     n = sum(rows for rows, _ in classes.values())
     prior = classes.get(1.0, (0, 0))[0] / n if n else 0.0
     if not 0 < prior < 1:
-        return UrlModel({}, frozenset(), prior, None)
-    rates, small = block_rates(labelled, prior)
+        return UrlModel(None, prior, None)
+    rates = block_rates(labelled)
     picked = training_urls(labelled, classes, train_urls).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
-    train = _features(picked, F.col("url"), F.col("host"), F.col("path"), rates, small, prior).orderBy("url", "blocked").coalesce(1)
+    train = _features(picked, F.col("url"), F.col("host"), F.col("path"), rates, prior).orderBy("url", "blocked").coalesce(1)
     trees = GBTClassifier(labelCol="blocked", featuresCol="__features", predictionCol="__prediction", weightCol="weight",
                           maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3)
-    return UrlModel(rates, small, prior, trees.setRawPredictionCol("__raw").setProbabilityCol("__probability").fit(train))
+    return UrlModel(rates, prior, trees.setRawPredictionCol("__raw").setProbabilityCol("__probability").fit(train))
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
