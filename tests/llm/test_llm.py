@@ -575,6 +575,18 @@ def test_hard_wrapped_licenses(spark):
     assert licenses.scan_licenses(frame(spark, [(1, listed)])).first().licenses == ["MIT", "BSD", "CC-BY-4.0"]
 
 
+def test_all_licenses_of_a_line(spark):
+    lines = {"Licensed under the Apache License, Version 2.0 or released under the MIT license": ["Apache-2.0", "MIT"],
+             "It is released under the MIT license or available under the BSD license": ["MIT", "BSD"],
+             "Dual licensed under the MIT License and Apache-2.0": ["MIT", "Apache-2.0"],
+             "SPDX-License-Identifier: MIT": ["MIT"], "# SPDX-License-Identifier: MIT OR Apache-2.0": ["Apache-2.0", "MIT"],
+             "// SPDX-License-Identifier: Apache-2.0 OR MIT": ["Apache-2.0", "MIT"], "SPDX-License-Identifier: GPL-3.0-or-later": ["GPL-3.0"],
+             "Copyright (c) 2020 Foo, licensed under the Apache License, Version 2.0": ["Apache-2.0"],
+             "Copyright 2020 Foo, all rights reserved": ["proprietary"], "a GNU Lesser General Public License version 2.1 or GNU General Public License version 2 work": ["LGPL-2.1", "GPL-2.0"]}
+    got = {r.doc_id: r.licenses for r in licenses.scan_licenses(frame(spark, list(enumerate(lines)))).collect()}
+    assert got == dict(enumerate(lines.values()))
+
+
 def test_every_known_sentence_is_read(spark):
     samples = {
         "mitPermission": "Permission is hereby granted, free of charge, to any person obtaining a copy", "mitNotice": "The above copyright notice and this permission notice shall be included",
@@ -586,6 +598,9 @@ def test_every_known_sentence_is_read(spark):
         "gpl3": "GNU General Public License version 3", "gpl2": "GNU General Public License version 2", "gplAny": "GNU General Public License",
         "apache2": "Licensed under the Apache License, Version 2.0", "apacheComply": "you may not use this file except in compliance with the License",
         "mpl2": "Mozilla Public License, v. 2.0", "epl2": "Eclipse Public License v2.0", "mitReference": "Released under the MIT License", "bsdReference": "available under the BSD license",
+        "apacheReference": "Apache-2.0", "mitName": "SPDX-License-Identifier: MIT", "iscName": "SPDX-License-Identifier: ISC", "bsd3Name": "BSD-3-Clause", "bsd2Name": "BSD 2-Clause",
+        **{f"{k.lower()}{v.replace('.', '')}Name": f"SPDX-License-Identifier: {k}-{w}" for k, v, w in (("AGPL", "3", "3.0"), ("LGPL", "3", "3.0"), ("LGPL", "21", "2.1"), ("GPL", "3", "3.0"),
+           ("GPL", "2", "2.0"), ("MPL", "2", "2.0"), ("EPL", "2", "2.0"))},
         "ccByNcSa4": "CC BY-NC-SA 4.0", "ccByNcNd4": "CC-BY-NC-ND 4.0", "ccByNc4": "Creative Commons Attribution-NonCommercial 4.0", "ccBySa4": "Creative\nCommons Attribution-ShareAlike 4.0",
         "ccByNd4": "CC\nBY-ND 4.0", "ccBy4": "CC BY 4.0", "cc0": "We dedicate it to the public\ndomain", "allRights": "All rights\n# reserved", "copyright": "(c) 2021 Foo Inc"}
     assert list(samples) == [name for name, _ in licenses.SENTENCES]

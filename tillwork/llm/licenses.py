@@ -3,7 +3,8 @@
 Texts are split into sentences at punctuation, blank lines and list marks; those with a licence
 word are normalised (lower case, runs of other characters than letters and digits as one space)
 and mapped to identifiers of known licence sentences.  A known sentence may run over single
-line breaks and counts for the line it begins in, once a line.  The sequence of a document's identifiers is matched against the licence
+line breaks and counts for the line it begins in, once a line; all known sentences of a line
+count, in the order of the text, of those that begin at one word the first of the list.  The sequence of a document's identifiers is matched against the licence
 rules in order; what a rule matches is taken out, so a later rule can't count it again.
 DataFrame functions only.
 """
@@ -26,9 +27,9 @@ ENDS = (
 )
 #: the licence words over line breaks; and with the words of known sentences that have none of them
 WORD = LICENSE_WORD.replace(" ", r"[ \t\r\n#*/;%|>]+")
-KNOWN_WORD = WORD + r"|as[^a-zA-Z0-9]+is|\(c\)"
-#: comes besides another identifier of the same line
-BESIDES = "gplLater"
+KNOWN_WORD = WORD + r"|as[^a-zA-Z0-9]+is|\(c\)|apache[^a-zA-Z0-9]+2[^a-zA-Z0-9]+0|bsd[^a-zA-Z0-9]+[23][^a-zA-Z0-9]+clause"
+#: a notice that counts only where its line has no other sentence
+NOTICE = "copyright"
 SENTENCES = (
     ("mitPermission", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mitNotice", r"above copyright notice and this permission notice shall be included"),
@@ -51,6 +52,18 @@ SENTENCES = (
     ("epl2", r"eclipse public license v(ersion)? ?2 0"),
     ("mitReference", r"(released|licensed|distributed|available) under the (terms of the )?mit license"),
     ("bsdReference", r"(released|licensed|distributed|available) under the (terms of the )?bsd license"),
+    ("apacheReference", r"apache 2 0"),
+    ("mitName", r"spdx license identifier mit|2 0 or mit"),
+    ("iscName", r"spdx license identifier isc"),
+    ("bsd3Name", r"bsd 3 clause"),
+    ("bsd2Name", r"bsd 2 clause"),
+    ("agpl3Name", r"spdx license identifier agpl 3 0"),
+    ("lgpl3Name", r"spdx license identifier lgpl 3 0"),
+    ("lgpl21Name", r"spdx license identifier lgpl 2 1"),
+    ("gpl3Name", r"spdx license identifier gpl 3 0"),
+    ("gpl2Name", r"spdx license identifier gpl 2 0"),
+    ("mpl2Name", r"spdx license identifier mpl 2 0"),
+    ("epl2Name", r"spdx license identifier epl 2 0"),
     ("ccByNcSa4", r"(cc by nc sa|creative commons attribution noncommercial sharealike) 4 0"),
     ("ccByNcNd4", r"(cc by nc nd|creative commons attribution noncommercial noderivatives) 4 0"),
     ("ccByNc4", r"(cc by nc|creative commons attribution noncommercial) 4 0"),
@@ -77,6 +90,18 @@ RULES = (
     ("EPL-2.0", "<epl2>"),
     ("MIT", "<mitReference>"),
     ("BSD", "<bsdReference>"),
+    ("Apache-2.0", "<apacheReference>"),
+    ("MIT", "<mitName>"),
+    ("ISC", "<iscName>"),
+    ("BSD-3-Clause", "<bsd3Name>"),
+    ("BSD-2-Clause", "<bsd2Name>"),
+    ("AGPL-3.0", "<agpl3Name>"),
+    ("LGPL-3.0", "<lgpl3Name>"),
+    ("LGPL-2.1", "<lgpl21Name>"),
+    ("GPL-3.0", "<gpl3Name>"),
+    ("GPL-2.0", "<gpl2Name>"),
+    ("MPL-2.0", "<mpl2Name>"),
+    ("EPL-2.0", "<epl2Name>"),
     ("CC-BY-NC-SA-4.0", "<ccByNcSa4>"),
     ("CC-BY-NC-ND-4.0", "<ccByNcNd4>"),
     ("CC-BY-NC-4.0", "<ccByNc4>"),
@@ -103,11 +128,10 @@ def sentence_ids(text: Column, sentences=SENTENCES) -> Column:
         return F.when(F.size(known) > 0, known).otherwise(unknown)
 
     def chosen(line: Column) -> Column:
-        first = F.lit(None).cast("string")
-        for name, _ in reversed(sentences):
-            if name != BESIDES:
-                first = F.when(line.contains(f"<{name}>"), name).otherwise(first)
-        return F.array_compact(F.array(first, F.when(line.contains(f"<{BESIDES}>"), BESIDES)))
+        # marks side by side begin at one word: the first of the list stands first
+        first = F.regexp_replace(line, r"(<\w+>)(?:<\w+>)+", "$1")
+        found = F.array_distinct(F.regexp_extract_all(first, F.lit(r"<(\w+)>"), F.lit(1)))
+        return F.when(F.size(found) > 1, F.array_remove(found, NOTICE)).otherwise(found)
 
     marked = F.filter(F.split(text, "(?i)" + "|".join(ENDS)), lambda s: s.rlike(KNOWN_WORD))
     return F.when(text.rlike(KNOWN_WORD), F.flatten(F.transform(marked, identify))).otherwise(F.array().cast("array<string>"))
