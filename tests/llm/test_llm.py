@@ -626,6 +626,44 @@ def test_sentencepiece_ids_are_the_librarys(spark, docs):
     assert sentencepiece_fst.encode_texts(frame(spark, []), TOKENIZER).count() == 0
 
 
+@pytest.mark.skipif(not MODEL, reason="no tokenizer files")
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A driver that finds the package by sys.path alone, from another folder."""
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()
+from tillwork.llm import sentencepiece_fst
+df = spark.createDataFrame([(1, 'some words')], 'doc_id long, text string')
+rows = sentencepiece_fst.decode_ids(sentencepiece_fst.encode_texts(df, {TOKENIZER!r}), {TOKENIZER!r}).collect()
+assert rows[0].decoded == 'some words' and rows[0].round_trip
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=180)
+    assert done.returncode == 0, done.stderr[-2000:]
+
+
+@pytest.mark.skipif(not MODEL, reason="no tokenizer files")
+def test_long_words_take_linear_time():
+    import time
+
+    model = sentencepiece_fst.Transducers(sentencepiece_fst.read_model(TOKENIZER))
+    took = []
+    for n in (50_000, 400_000):
+        rnd = random.Random(n)
+        word = "".join(rnd.choice("abcdefghij") for _ in range(n))
+        start = time.process_time()
+        ids = np.frombuffer(model.encode(word), np.int32)
+        took.append(time.process_time() - start)
+        assert model.decode(ids.tolist()) == word
+    assert took[1] < 30 * max(took[0], 0.05)  # 64 times if quadratic
+
+
 def test_unigram_path_is_the_shortest():
     spec = sentencepiece_fst.Spec(("<unk>", "▁", "a", "b", "ab", "▁a", "ba", "bab"), (0, -2.0, -3.0, -3.0, -2.5, -4.0, -2.2, -6.0), (2, 1, 1, 1, 1, 1, 1, 1), False, False, 0, True, False)
     model = sentencepiece_fst.Transducers(spec)

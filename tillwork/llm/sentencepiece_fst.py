@@ -18,6 +18,7 @@ are composed and searched one by one; those that come again are remembered.
 
 from __future__ import annotations
 
+import dataclasses
 import math
 import re
 import sys
@@ -99,6 +100,7 @@ class Transducers:
         # the lexicon: nested dicts of characters, a final state has its piece's id under FINAL; a
         # BPE piece that merging never makes is on no path
         self.lexicon: dict = {}
+        self.longest = max(map(len, self.id), default=0)
         for piece, i in self.id.items():
             if not spec.bpe or self.merged(piece) == [piece]:
                 state = self.lexicon
@@ -158,14 +160,14 @@ class Transducers:
 
     def bpe_path(self, word: str) -> list[int]:
         """The one path through the lattice and the neighbour transducer."""
-        n, known, lexicon = len(word), self.pairs.get, self.lexicon
+        n, known, lexicon, most = len(word), self.pairs.get, self.lexicon, self.longest
         path: list[int] = []
         ends, choices, dead = [0], [], set()
         last = None
         while ends[-1] < n:
             if len(choices) < len(ends):  # the arcs from here
                 choice, state, end = [], lexicon, ends[-1]
-                for char in word[end:]:
+                for char in word[end : end + most]:
                     state = state.get(char)
                     if state is None:
                         break
@@ -270,13 +272,13 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", out:
     ids; other columns stay as they are.
     """
     spec, columns, names = read_model(model_path), docs.columns, free_name(docs, out, "n_tokens", "round_trip")
-    sent = docs.sparkSession.sparkContext.broadcast(spec)
+    sent = docs.sparkSession.sparkContext.broadcast(dataclasses.astuple(spec))
     place = columns.index(text_col)
 
     def run(batches):
         import pyarrow as pa
 
-        model = compiled(sent.value)
+        model = compiled(Spec(*sent.value))  # plain tuples travel: executors need no copy of this package
         for batch in batches:
             for lo, hi in row_chunks(utf8(batch.column(place))[1]):
                 part = batch.slice(lo, hi - lo)
@@ -297,13 +299,13 @@ def encode_texts(docs: DataFrame, model_path: str, text_col: str = "text", out:
 def decode_ids(df: DataFrame, model_path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the text of ``ids_col`` in ``out`` (null for null); bytes that are no UTF-8 become U+FFFD."""
     spec, columns, (name,) = read_model(model_path), df.columns, free_name(df, out)
-    sent = df.sparkSession.sparkContext.broadcast(spec)
+    sent = df.sparkSession.sparkContext.broadcast(dataclasses.astuple(spec))
     place = columns.index(ids_col)
 
     def run(batches):
         import pyarrow as pa
 
-        model = compiled(sent.value)
+        model = compiled(Spec(*sent.value))  # plain tuples travel: executors need no copy of this package
         for batch in batches:
             text = [None if ids is None else model.decode(ids) for ids in batch.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(text, pa.string())], [*columns, name])
