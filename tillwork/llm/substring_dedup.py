@@ -92,10 +92,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         first = np.concatenate(([0], np.cumsum(n)[:-1])).astype(np.int64) if len(n) else order
         key, tag = key[order][first], (tag[order][first] << 1) | (n > 1).astype(np.uint16)
         part = ((key >> U(32)) * U(ranges)) >> U(32)
-        cut = np.searchsorted(part, np.arange(ranges + 1, dtype=U))
-        full = np.flatnonzero(np.diff(cut))
-        return pa.table({"range": pa.array(full, pa.int64()), "block": pa.array(np.repeat(table["block"][0].as_py(), len(full)), pa.int64()),
-                         "entries": pa.array([pack(key[cut[r] : cut[r + 1]], tag[cut[r] : cut[r + 1]]) for r in full], pa.binary())})
+        full, begin = np.unique(part, return_index=True)  # of the ranges, those with windows here
+        cut = np.append(begin, len(part))
+        return pa.table({"range": pa.array(full.astype(np.int64)), "block": pa.array(np.repeat(table["block"][0].as_py(), len(full)), pa.int64()),
+                         "entries": pa.array([pack(key[lo:hi], tag[lo:hi]) for lo, hi in zip(cut, cut[1:])], pa.binary())})
 
     def counted(_, table):
         import pyarrow as pa
