@@ -253,3 +253,57 @@ def replaced(text: Column, spans: Column) -> Column:
             return F.concat(F.array_join(marked, ""), piece(last, F.char_length(text).cast("long")))
         return let(running(F.transform(spans, lambda s: s.stop), F.greatest), body)
     return let(blocks, build)
+
+
+def duckdb_sql(table: str, reach: int = REACH, alpha: float = ALPHA, support: int = SUPPORT) -> str:
+    """The same in DuckDB SQL, with digests of spans and texts: plain patterns, one row per distinct
+    text, positions by running sums over unnested matches."""
+    plain = {"email": rf"{LOCAL}+@{LABEL}+(\.{LABEL}+)+", "ip": r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "card": PATTERNS["card"].replace("++", "+"), "phone": PATTERNS["phone"]}
+    others = "|".join(f"(?:{plain[k]})" for k in ("email", "ip", "phone", "card"))
+    found = " UNION ALL ".join(
+        f"SELECT key, {place} AS place, '{kind}' AS kind, regexp_extract_all(text, '{plain[kind]}') AS m, regexp_split_to_array(text, '{plain[kind]}') AS p FROM texts"
+        for place, kind in enumerate(KINDS))
+    digit = "CAST(substr(lpad(d, 20, '0'), CAST(i AS INTEGER), 1) AS INTEGER)"
+    return f"""WITH texts AS (SELECT DISTINCT coalesce(text, '') AS text, md5(coalesce(text, '')) AS key FROM {table}),
+total AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM texts),
+found AS ({found}),
+cut AS (SELECT key, place, kind, unnest(m) AS v, unnest(p[1:len(m)]) AS before, unnest(p[2:len(m) + 1]) AS after, unnest(range(1, len(m) + 1)) AS i FROM found WHERE len(m) > 0),
+placed AS (SELECT *, sum(length(before) + length(v)) OVER (PARTITION BY key, place ORDER BY i ROWS UNBOUNDED PRECEDING) AS stop, regexp_replace(v, '[^0-9]', '', 'g') AS d FROM cut),
+base AS (
+  SELECT key, place, kind, CAST(stop - length(v) AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop,
+         kind || ':' || CASE kind WHEN 'email' THEN lower(v) WHEN 'ip' THEN array_to_string(list_transform(string_split(v, '.'), lambda x: regexp_replace(x, '^0+([0-9])', '\1')), '.') ELSE d END AS entity,
+         regexp_replace(CASE WHEN length(before) > {reach} THEN regexp_replace(right(before, {reach}), '^\p{{L}}+', '') ELSE before END || ' ' ||
+                        CASE WHEN length(after) > {reach} THEN regexp_replace(left(after, {reach}), '\p{{L}}+$', '') ELSE after END, '{others}', ' ', 'g') AS near
+  FROM placed WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(v, '.'), lambda x: coalesce(try_cast(x AS HUGEINT), 256) > 255)) = 0
+    WHEN 'card' THEN length(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, 21), lambda i: CASE WHEN i % 2 = 0 THEN {digit} WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)) % 10 = 0
+    WHEN 'phone' THEN length(d) BETWEEN 9 AND 15 ELSE true END),
+near AS (SELECT DISTINCT key, entity, lower(run) AS term FROM (SELECT key, entity, unnest(regexp_split_to_array(near, '\P{{L}}+')) AS run FROM base) WHERE length(run) >= {LEAST_TERM}),
+n_c AS (SELECT entity, count(DISTINCT key) AS n_c FROM base GROUP BY entity),
+pairs AS (SELECT entity, term, count(*) AS n_ct FROM near GROUP BY ALL HAVING count(*) >= {support}),
+held AS (SELECT DISTINCT key, lower(run) AS term FROM (SELECT key, unnest(regexp_split_to_array(text, '\P{{L}}+')) AS run FROM texts) WHERE lower(run) IN (SELECT term FROM pairs)),
+n_t AS (SELECT term, count(*) AS n_t FROM held GROUP BY term),
+flagged AS (SELECT entity, term, n_c, left(term, {STEM}) AS stem FROM pairs JOIN n_c USING (entity) JOIN n_t USING (term), total
+            WHERE log2(n_ct * total.n / (n_c * n_t)) >= {alpha} * log2(total.n / n_c)),
+stems AS (SELECT DISTINCT entity, stem, n_c FROM flagged WHERE length(term) > {STEM + 1}),
+near_stem AS (SELECT DISTINCT entity, left(term, {STEM}) AS stem, key FROM near),
+n_cg AS (SELECT entity, stem, count(*) AS n_cg FROM near_stem GROUP BY ALL),
+n_g AS (SELECT stem, count(DISTINCT key) AS n_g FROM near_stem GROUP BY stem),
+worst AS (SELECT stem, bool_or(log2(n_cg * total.n / (n_c * n_g)) >= {alpha} * log2(total.n / n_c)) AS told FROM stems JOIN n_cg USING (entity, stem) JOIN n_g USING (stem), total GROUP BY stem),
+listed AS (SELECT DISTINCT term, CASE WHEN length(term) > {STEM + 1} AND NOT told THEN stem || '…' ELSE '{GONE}' END AS mark FROM flagged LEFT JOIN worst USING (stem)),
+runs AS (SELECT key, unnest(regexp_extract_all(text, '\p{{L}}+')) AS v, regexp_split_to_array(text, '\p{{L}}+') AS p, unnest(range(1, len(regexp_extract_all(text, '\p{{L}}+')) + 1)) AS i
+         FROM texts WHERE key IN (SELECT key FROM held JOIN listed USING (term))),
+run_places AS (SELECT key, v, sum(length(p[i]) + length(v)) OVER (PARTITION BY key ORDER BY i ROWS UNBOUNDED PRECEDING) AS stop FROM runs),
+spans AS (
+  SELECT key, place, kind, start, stop, '[' || kind || ']' AS mark FROM base
+  UNION ALL SELECT key, {len(KINDS)}, '{TERM}', CAST(stop - length(v) AS BIGINT), CAST(stop AS BIGINT), mark FROM run_places JOIN listed ON term = lower(v)),
+seen AS (SELECT *, coalesce(max(stop) OVER (PARTITION BY key ORDER BY start, place, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM spans),
+clean AS (
+  SELECT key, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS)},
+         coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop) FILTER (place < {len(KINDS)}), '') AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place, stop) AS spans, max(stop) AS done,
+         string_agg(CASE WHEN start >= done THEN substr(text, done + 1, start - done) || mark ELSE '' END, '' ORDER BY start, place, stop) AS head
+  FROM seen JOIN texts USING (key) GROUP BY key)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in KINDS)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       sha256(coalesce(head || substr(text, CAST(done AS BIGINT) + 1), text, '')) AS sanitised_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS text, md5(coalesce(text, '')) AS key FROM {table}) LEFT JOIN clean USING (key)"""

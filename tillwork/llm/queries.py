@@ -103,5 +103,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scans": licenses.duckdb_sql("documents"),
+    "op11_pii": pii.duckdb_sql("documents"),
     "op12_fill_middle": fill_middle.duckdb_sql("documents"),
 }

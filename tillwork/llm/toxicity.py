@@ -122,12 +122,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, grade: Column, grades: int,
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = word_features(text.join(F.broadcast(picked), "doc_id").select("text", "grade"))
     rows = materialise(rows)
-    like = F.lit(0.0)
-    for k in range(COPY_HASHES):
-        again = rows.groupBy(F.col("copies")[k].alias("copy"), F.col("grade").alias("of")).agg(F.count("*").alias(f"n{k}"))
-        rows = rows.join(again, (F.col("copies")[k] == F.col("copy")) & (F.col("grade") == F.col("of"))).drop("copy", "of")
-        like = like + F.col(f"n{k}")
-    rows = materialise(rows.select("grade", "text_hash", "features", (COPY_HASHES / like).alias("weight")))
+    # rows that agree in a min-hash and the grade, for every hash; texts alone, without their words
+    texts = rows.groupBy("grade", "text_hash", "copies").agg(F.count("*").alias("m")).select("grade", "text_hash", "m", F.posexplode("copies").alias("k", "copy"))
+    agree = texts.groupBy("grade", "k", "copy").agg(F.sum("m").alias("n"))
+    weights = texts.join(agree, ["grade", "k", "copy"]).groupBy("grade", "text_hash").agg((COPY_HASHES / F.sum("n")).alias("weight"))
+    rows = rows.drop("copies").join(F.broadcast(materialise(weights)), ["grade", "text_hash"])  # train_rows at most
     count = rows.agg(F.sum("weight"), *(F.sum(F.when(F.col("grade") >= k, F.col("weight"))) for k in range(1, grades + 1))).first()
     share = [(c or 0.0) / count[0] if count[0] else 0.0 for c in count[1:]]
     p = share[toxic_from - 1]
