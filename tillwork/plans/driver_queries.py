@@ -670,6 +670,45 @@ def q_misleading_texts(spark, sf_dir):
                          "peo_count", "customer_name", "tran_id")
 
 
+# C12 with a table of rules: one rule per part, a piece of its label; the last rule in a label wins ----
+@register("price_rules", """
+WITH labels AS (SELECT p_partkey, p_name || ' ' || p_partkey AS label, p_retailprice FROM part),
+rules AS (SELECT p_partkey AS no, substr(label, CAST(1 + p_partkey % 4 AS INTEGER), CAST(4 + p_partkey % 9 AS INTEGER)) AS pattern, p_retailprice + 1 AS price FROM labels),
+best AS (SELECT label, arg_max(price, no) AS price FROM (SELECT DISTINCT label FROM labels) JOIN rules ON contains(label, pattern) GROUP BY label)
+SELECT l_orderkey, l_linenumber, l_extendedprice, label AS item, round(coalesce(best.price, p_retailprice), 2) AS unit_price
+FROM lineitem JOIN labels ON l_partkey = p_partkey LEFT JOIN best USING (label)
+""")
+def q_price_rules(spark, sf_dir):
+    from tillwork.operators.prices import override_price_table
+
+    key = F.col("p_partkey")
+    label = F.concat_ws(" ", "p_name", key.cast("string"))
+    parts = table(spark, sf_dir, "part").select("p_partkey", label.alias("item"), F.col("p_retailprice").alias("unit_price"))
+    rules = parts.select(key.alias("rule_no"), F.substring("item", (1 + key % 4).cast("int"), (4 + key % 9).cast("int")).alias("pattern"), (F.col("unit_price") + 1).alias("price"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey")
+    lines = lines.join(parts, F.col("l_partkey") == key)
+    out = override_price_table(lines, "item", "unit_price", rules)
+    return out.select("l_orderkey", "l_linenumber", "l_extendedprice", "item", F.round("unit_price", 2).alias("unit_price"))
+
+
+# Pages that a broken fetch left out, per store and day --------------------------------------
+@register("missing_pages", """
+WITH p AS (SELECT user_id % 5 AS store, strftime(ts, '%Y-%m-%d') AS day, CAST(user_id // 10 % 12 AS INTEGER) AS page, count(*) AS n FROM events GROUP BY ALL),
+g AS (SELECT *, coalesce(lag(page) OVER w, 0) AS before, lead(page) OVER w AS next FROM p WHERE page > 0 WINDOW w AS (PARTITION BY store, day ORDER BY page))
+SELECT 'S' || store AS store_uid, day AS report_date, before + 1 AS from_page, page - 1 AS to_page FROM g WHERE page > before + 1
+UNION ALL
+SELECT 'S' || store, day, page + 1, NULL FROM g WHERE next IS NULL AND n >= 3
+""")
+def q_missing_pages(spark, sf_dir):
+    from tillwork.sources.pages import missing_pages
+
+    ev = table(spark, sf_dir, "events")
+    page = (F.floor(F.col("user_id") / 10) % 12).cast("int")
+    landed = (ev.groupBy(F.concat(F.lit("S"), (F.col("user_id") % 5).cast("string")).alias("store_uid"), F.date_format("ts", "yyyy-MM-dd").alias("report_date"), page.alias("page_no"))
+              .agg(F.count("*").alias("entries")).where(F.col("page_no") > 0))
+    return missing_pages(landed, page_size=3)
+
+
 # Flagged history, exclusion, lookup ------------------------------------------------------
 @register("flagged_history", f"""
 WITH {LOG_CTE.strip()}
