@@ -20,10 +20,14 @@ def is_one_of(col, values: Iterable[str]) -> Column:
     return F.coalesce(to_col(col).isin(list(values)), F.lit(False))
 
 
-def contains_text(col, text: str, ignore_case: bool = True) -> Column:
-    """F2/F3 – literal substring test; null → false."""
+def contains_text(col, text: str, ignore_case: bool = True, unicode: bool = False) -> Column:
+    """F2/F3 – literal substring test; null → false.  ``unicode`` compares by collation, so
+    that composed and decomposed accents are equal."""
     c = to_col(col).cast("string")
-    if ignore_case:
+    if unicode:
+        name = "UNICODE_CI" if ignore_case else "UNICODE"
+        hit = F.contains(F.collate(c, name), F.collate(F.lit(text), name))
+    elif ignore_case:
         hit = F.contains(F.lower(c), F.lit(text.lower()))
     else:
         hit = F.contains(c, F.lit(text))

@@ -150,9 +150,14 @@ def as_text(col, null_text: str | None = None) -> Column:
 
 
 # C9 / C10 -------------------------------------------------------------------
-def text_between(col, after: str, before: str) -> Column:
+def text_between(col, after: str, before: str, unicode: bool = False) -> Column:
     """C9 – text after the last ``after`` and before the first ``before``,
-    stripped.  A missing marker leaves the whole text (as ``str.split``)."""
+    stripped.  A missing marker leaves the whole text (as ``str.split``).  ``unicode`` finds
+    the markers in any case and with composed or decomposed accents."""
+    if unicode:
+        def cut(c, mark, n):
+            return F.call_function("substring_index", F.collate(c, "UNICODE_CI"), F.collate(F.lit(mark), "UNICODE_CI"), F.lit(n)).cast("string")
+        return strip(cut(strip(cut(to_col(col).cast("string"), after, -1)), before, 1))
     tail = F.substring_index(to_col(col), after, -1)
     return strip(F.substring_index(strip(tail), before, 1))
 

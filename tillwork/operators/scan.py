@@ -24,6 +24,9 @@ one value of the coarser ones: with (day, minute) a global scan sorts 1440
 rows a day and then the days, however many rows a minute holds.  AQE
 broadcasts the segment table when its measured size allows.
 
+Where the data name no bucket, :func:`ranged` makes one: the frame is dealt out by sampled
+quantiles of (keys, order), so that one hot key spans as many ranges as its rows fill.
+
 There is one form for a given call, whatever the key sizes, so results do
 not depend on how large a key is.  Rows whose result is null by rule (a null
 key under ``null_keys="null"``) are dealt out by a hash of their order, not
@@ -39,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tillwork.functions.util import to_col
+from tillwork.session import checkpointed
 
 _KINDS = ("last", "count", "sum", "max", "max_before")
 
@@ -51,6 +55,24 @@ def _names(cols) -> list[str]:
     return list(cols)
 
 
+#: bucket column of :func:`ranged`
+RANGE = "__tw_range"
+
+
+def ranged(df: DataFrame, keys=(), order=("ord",), ranges: int | None = None) -> DataFrame:
+    """``df`` with a bucket ``RANGE`` for scans along ``order`` inside ``keys``.
+
+    Rows are dealt into ``ranges`` (default: the session's shuffle partitions) by sampled
+    quantiles of (keys, order) and written once with their range's number, which never falls
+    along the order of a key: a bill with a third of all rows fills a third of the ranges, and
+    small bills lie whole in one.  Written, because a second sample would cut elsewhere; it
+    takes the place of the checkpoint a frame needs before a scan.
+    """
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartitionByRange(n, *[to_col(c) for c in [*_names(keys), *_names(order)]])
+    return checkpointed(dealt.withColumn(RANGE, F.spark_partition_id()))
+
+
 def _order_cols(order, descending: bool) -> list[Column]:
     out = []
     for c in _names(order):

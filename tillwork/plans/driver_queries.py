@@ -9,6 +9,7 @@ Computed columns carry the same alias on both sides; doubles are rounded to
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1525,3 +1526,150 @@ def q_daily_pipeline(spark, sf_dir):
     flat, lines = daily_job_inputs(spark, sf_dir)
     out = run_stages(flat, lines, JobConfig())
     return out["staff_kpi"].withColumn("order_value", F.round("order_value", 2))
+
+
+# S2 E2 E3 E4 with an open schema --------------------------------------------------------------
+def open_log_pages(spark, sf_dir) -> DataFrame:
+    """Pages of entries whose three levels hold keys that no column knows: ``shift`` at each,
+    ``area`` at two, ``unit`` and ``size`` in items; a later level may set one to null."""
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    eid, uid, item = F.col("event_id"), F.col("user_id").cast("string"), F.col("event_type")
+    k = F.get_json_object("props", "$.k")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    change = (F.when(eid % 9 == 0, F.lit("bad{"))
+              .when(eid % 4 == 0, text("{'area': 'A", uid, "'}"))
+              .when(eid % 3 == 0, text("{'area': 'A", uid, "', 'shift': 'H', 'sale_detail': [{'item_name': '", item, "', 'quantity': ", k,
+                                       ", 'unit': 'cup'}, {'item_name': '", item, "-2', 'shift': null, 'size': 2}]}"))
+              .otherwise(text("{'sale_detail': [{'item_name': '", item, "', 'area': 'I'}]}")))
+    entry = F.struct(text("T", uid).alias("tran_id"), text("N", eid.cast("string")).alias("tran_no"),
+                     text("E", (F.col("user_id") % 3).cast("string")).alias("shift"), change.alias("change_data"))
+    staged = ev.select(text("S", (F.col("user_id") % 5).cast("string")).alias("store_uid"), F.floor(eid / 100).cast("int").alias("page_no"),
+                       F.struct(eid.alias("o"), entry.alias("e")).alias("x"))
+    pages = staged.groupBy("store_uid", "page_no").agg(F.to_json(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["e"])).alias("body"))
+    return pages.select("store_uid", F.lit("2024-01-01").alias("report_date"), "page_no", "body")
+
+
+@register("open_change_log", """
+WITH b AS (
+  SELECT 'N' || CAST(event_id AS VARCHAR) AS tran_no, event_id, event_type AS item, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+         'A' || CAST(user_id AS VARCHAR) AS a, 'E' || CAST(user_id % 3 AS VARCHAR) AS e,
+         CASE WHEN event_id % 9 = 0 THEN 1 WHEN event_id % 4 = 0 THEN 2 WHEN event_id % 3 = 0 THEN 3 ELSE 4 END AS kind
+  FROM events)
+SELECT tran_no, CAST(NULL AS INTEGER) AS item_pos, CAST(NULL AS VARCHAR) AS item_name, CAST(NULL AS DOUBLE) AS quantity, e AS shift,
+       CASE WHEN kind = 2 THEN a END AS area, CAST(NULL AS VARCHAR) AS unit, CAST(NULL AS VARCHAR) AS size,
+       CASE WHEN kind = 1 THEN 'shift' ELSE 'area,shift' END AS names
+FROM b WHERE kind <= 2
+UNION ALL SELECT tran_no, 0, item, k, 'H', a, 'cup', NULL, 'area,shift,unit' FROM b WHERE kind = 3
+UNION ALL SELECT tran_no, 1, item || '-2', NULL, NULL, a, NULL, '2', 'area,shift,size' FROM b WHERE kind = 3
+UNION ALL SELECT tran_no, 0, item, NULL, e, 'I', NULL, NULL, 'area,shift' FROM b WHERE kind = 4
+""")
+def q_open_change_log(spark, sf_dir):
+    from tillwork.operators.nested import with_extra_columns
+    from tillwork.sources.pages import CHANGE_LOG_ENTRY, entries_from_pages, flatten_change_log
+
+    entries = entries_from_pages(open_log_pages(spark, sf_dir), CHANGE_LOG_ENTRY, extras="extras")
+    flat = flatten_change_log(entries, extras="extras")
+    names = F.array_join(F.array_sort(F.map_keys("extras")), ",")
+    return with_extra_columns(flat.withColumn("names", names), ["shift", "area", "unit", "size"]).select(
+        "tran_no", "item_pos", "item_name", "quantity", "shift", "area", "unit", "size", "names")
+
+
+@register("open_children", f"""
+WITH {_KIDS_SQL.strip()}
+SELECT event_id, 0 AS child_pos, event_type AS item_name, value AS quantity, CAST(NULL AS VARCHAR) AS size, CAST(NULL AS VARCHAR) AS ice,
+       CAST(NULL AS VARCHAR) AS tags, '' AS names FROM b
+UNION ALL
+SELECT event_id, i, event_type || '#' || CAST(i AS VARCHAR), CAST(k + i AS DOUBLE), 'L', CAST(i AS VARCHAR),
+       '["x",' || CAST(i AS VARCHAR) || ']', CASE WHEN i = 2 THEN 'gift,note.ice.level,note.size,tags' ELSE 'note.ice.level,note.size,tags' END FROM kid
+""")
+def q_open_children(spark, sf_dir):
+    from tillwork.operators.nested import DISPLAY_FIELDS, explode_keep_parent, overlay_open
+
+    ev = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k").cast("int")
+
+    def child(i, gift):
+        parts = ["{'item_name': '", F.col("event_type"), f"#{i}', 'quantity': ", (k + F.lit(i)).cast("string"), ", 'event_id': -1, 'note': {'size': 'L', 'ice': {'level': ",
+                 f"{i}" + "}}, 'tags': ['x', " + f"{i}]{gift}" + "}"]
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    kids = F.slice(F.array(child(1, ""), child(2, ", 'gift': None")), F.lit(1), (F.col("event_id") % 3).cast("int"))
+    base = ev.select("event_id", F.col("event_type").alias("item_name"), F.col("value").alias("quantity"),
+                     N.parse_list(F.concat(F.lit("["), F.array_join(kids, ", "), F.lit("]")), "map<string,variant>", style="python").alias("children"))
+    out = overlay_open(explode_keep_parent(base, "children").drop("children"), overwrite=DISPLAY_FIELDS)
+    e = F.col("extras")
+    return out.select("event_id", "child_pos", "item_name", "quantity", e["note.size"].alias("size"), e["note.ice.level"].alias("ice"),
+                      e["tags"].alias("tags"), F.array_join(F.array_sort(F.map_keys(e)), ",").alias("names"))
+
+
+# F2 C9 by collation ---------------------------------------------------------------------------
+_NOTE = "Hóa đơn gộp vào "
+_NOTE_FORMS = [unicodedata.normalize("NFC", _NOTE), unicodedata.normalize("NFD", _NOTE), unicodedata.normalize("NFD", _NOTE.upper()), "ghi chú "]
+
+
+@register("unicode_notes", f"""
+WITH n AS (
+  SELECT event_id, nfc_normalize(lower(CASE event_id % 4 WHEN 0 THEN '{_NOTE_FORMS[0]}' WHEN 1 THEN '{_NOTE_FORMS[1]}'
+         WHEN 2 THEN '{_NOTE_FORMS[2]}' ELSE '{_NOTE_FORMS[3]}' END) || 'HD' || CAST(user_id AS VARCHAR) || ' - ' || event_type) AS note
+  FROM events)
+SELECT event_id, contains(note, '{unicodedata.normalize("NFC", "gộp vào")}') AS merged,
+       CASE WHEN contains(note, '{unicodedata.normalize("NFC", "gộp vào")}')
+            THEN trim(split_part(split_part(note, '{unicodedata.normalize("NFC", "gộp vào")}', 2), '-', 1)) END AS target
+FROM n
+""")
+def q_unicode_notes(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    r = F.col("event_id") % 4
+    form = F.when(r == 0, F.lit(_NOTE_FORMS[0])).when(r == 1, F.lit(_NOTE_FORMS[1])).when(r == 2, F.lit(_NOTE_FORMS[2])).otherwise(F.lit(_NOTE_FORMS[3]))
+    note = F.concat(form, F.lit("HD"), F.col("user_id").cast("string"), F.lit(" - "), F.col("event_type"))
+    merged = P.contains_text("note", "gộp vào", unicode=True)
+    return ev.select("event_id", note.alias("note")).select(
+        "event_id", merged.alias("merged"), F.when(merged, S.text_between("note", "gộp vào", "-", unicode=True)).alias("target"))
+
+
+# A5 -------------------------------------------------------------------------------------------
+@register("row_counts", """
+SELECT 'log' AS name, count(*) AS "rows" FROM events
+UNION ALL SELECT 'errors', count(*) FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'bills', count(*) FROM orders
+UNION ALL SELECT 'lines', count(*) FROM lineitem
+UNION ALL SELECT 'none', 0
+""")
+def q_row_counts(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return A.row_counts({"log": ev, "errors": ev.filter("event_type = 'error'"), "bills": table(spark, sf_dir, "orders"),
+                         "lines": table(spark, sf_dir, "lineitem"), "none": ev.filter(F.lit(False))})
+
+
+# W2 W6 W9 with one bill of a third of all rows ---------------------------------------------------
+@register("hot_bill", """
+WITH e AS (
+  SELECT event_id, ts, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS bill, event_type AS item,
+         CASE WHEN event_id % 5 = 0 THEN -1 ELSE 1 END * (CAST(trunc(value) AS BIGINT) + 1) AS qty,
+         CASE WHEN event_id % 7 = 0 THEN event_type END AS sparse
+  FROM events),
+w AS (
+  SELECT event_id, bill, item, qty, row_number() OVER (PARTITION BY bill, item ORDER BY ts, event_id) AS occurrence,
+         coalesce(last_value(sparse IGNORE NULLS) OVER (PARTITION BY bill ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                  first_value(sparse IGNORE NULLS) OVER (PARTITION BY bill ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS filled,
+         sum(CASE WHEN qty < 0 THEN -qty ELSE 0 END) OVER (PARTITION BY bill, item) AS debt,
+         sum(CASE WHEN qty > 0 THEN qty ELSE 0 END) OVER (PARTITION BY bill, item ORDER BY ts DESC, event_id DESC
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - qty AS newer
+  FROM e)
+SELECT event_id, bill, item, CAST(occurrence AS INTEGER) AS occurrence, filled,
+       CAST(least(qty, qty - greatest(0, debt - newer)) AS BIGINT) AS qty
+FROM w WHERE qty > 0 AND qty - greatest(0, debt - newer) > 0
+""")
+def q_hot_bill(spark, sf_dir):
+    from tillwork.operators.scan import RANGE, ranged
+
+    order, eid = ["ts", "event_id"], F.col("event_id")
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", "ts", F.when(eid % 3 == 0, 0).otherwise(F.col("user_id")).alias("bill"), F.col("event_type").alias("item"),
+        (F.when(eid % 5 == 0, -1).otherwise(1) * (F.col("value").cast("long") + 1)).alias("qty"),
+        F.when(eid % 7 == 0, F.col("event_type")).alias("filled"))
+    rows = ranged(ev, "bill", order)  # cut along the order inside a bill, so of a bill's item too
+    rows = keys.occurrence(rows, ["bill", "item"], order=order, bucket=RANGE)
+    rows = fill.fill_group(rows, "bill", "filled", order=order, bucket=RANGE)
+    rows = deduct.reverse_deduct(rows, "qty", ["bill", "item"], order=order, bucket=RANGE)
+    return rows.select("event_id", "bill", "item", "occurrence", "filled", "qty")

@@ -25,6 +25,7 @@ from tillwork.functions import predicates as P
 from tillwork.functions import scalars as S
 from tillwork.operators import aggregates as A
 from tillwork.operators import deduct, fill, joins, keys, links, nested, rows, splits
+from tillwork.operators.scan import RANGE, ranged
 from tillwork.session import checkpointed
 
 TOPPING_JSON = "struct<item_name:string,price:double,quantity:double,amount:double,item_id:string,sku:string>"
@@ -95,6 +96,11 @@ def ingest_bucket(cfg: JobConfig) -> list[Column]:
     return [F.col("ord.report_date"), F.col("ord.store_ord"), F.floor(F.col("ord.page_no") / F.lit(cfg.pages_per_bucket))]
 
 
+def numbered(df: DataFrame, by: list[str]) -> DataFrame:
+    """W6 over sampled ranges: one bill may hold any share of the rows."""
+    return keys.occurrence(ranged(df, by), by, order=["ord"], out="occurrence", bucket=RANGE).drop(RANGE)
+
+
 # X1 ----------------------------------------------------------------------------
 def invoice_items(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     """Invoice lines (S4 output) → the 17-column item table with ``occurrence``."""
@@ -130,9 +136,8 @@ def invoice_items(lines: DataFrame, cfg: JobConfig = JobConfig()) -> DataFrame:
     df = fill.fill_group_then_global(df, "invoice_no", fill_cols, order=["ord"], bucket=ingest_bucket(cfg),
                                      semantics=cfg.semantics)
     # Sorted by (invoice_no, date, item), then numbered within (invoice_no, item, qty).
-    df = stage(df, cfg)
     df = df.withColumn("ord", F.struct(*nulls_last_key("invoice_no", "date", "item"), F.col("ord")))
-    return stage(keys.occurrence(df, ["invoice_no", "item", "qty"], order=["ord"], out="occurrence"), cfg)
+    return stage(numbered(df, ["invoice_no", "item", "qty"]), cfg)
 
 
 # X2 ----------------------------------------------------------------------------
@@ -176,10 +181,11 @@ def log_statistics(log: DataFrame) -> DataFrame:
 # X3 ----------------------------------------------------------------------------
 def apply_merges(g: DataFrame, cfg: JobConfig) -> DataFrame:
     """T2 – follow merge notes to the final invoice and rewrite ids/numbers."""
-    merge_to = F.when(P.contains_text("note", "gộp vào"), S.text_between("note", "gộp vào", "-"))
+    uni = cfg.semantics != "reference"  # notes in any case, accents composed or not
+    merge_to = F.when(P.contains_text("note", "gộp vào", unicode=uni), S.text_between("note", "gộp vào", "-", unicode=uni))
     g = g.withColumn("merge_to", S.blank_to_null(merge_to))
-    g = fill.fill_group(g, "invoice_no", "merge_to", order=["ord"])
-    g = stage(g.filter(~P.contains_text("note", "[Gộp đơn]", ignore_case=False)), cfg)
+    g = fill.fill_group(ranged(g, "invoice_no"), "invoice_no", "merge_to", order=["ord"], bucket=RANGE).drop(RANGE)
+    g = stage(g.filter(~P.contains_text("note", "[Gộp đơn]", ignore_case=False, unicode=uni)), cfg)
     edges = keys.last_value_map(g, "invoice_id", "merge_to", order=["ord"], out_key="src", out_value="dst")
     numbers = keys.keep_first(g.select("invoice_id", "invoice_no", "ord"), "invoice_id", order=["ord"])
     resolved = links.resolve_links(g.select(F.col("invoice_id").alias("id")), edges, cycle="stop")
@@ -190,9 +196,12 @@ def apply_merges(g: DataFrame, cfg: JobConfig) -> DataFrame:
 
 def apply_splits(g: DataFrame, cfg: JobConfig) -> DataFrame:
     """T3 – split notes → parent links → family → split inventory."""
-    split_hit = P.contains_text("note", "bỏ món") & P.contains_text("note", "tạo thành hóa đơn")
+    uni = cfg.semantics != "reference"
+    split_hit = P.contains_text("note", "bỏ món", unicode=uni) & P.contains_text("note", "tạo thành hóa đơn", unicode=uni)
     t = g.withColumn("split_to", S.blank_to_null(F.when(split_hit, S.capture("note", r"([A-Z0-9]{10,})\s*-"))))
-    t = stage(fill.fill_masked(t, "invoice_id", "split_to", F.col("log_type") == "SALE_SPLIT_ORDER", order=["ord"]), cfg)
+    t = fill.fill_masked(ranged(t, "invoice_id"), "invoice_id", "split_to", F.col("log_type") == "SALE_SPLIT_ORDER",
+                         order=["ord"], bucket=RANGE)
+    t = stage(t.drop(RANGE), cfg)
     # child → parent: distinct (parent, child) pairs in first-seen order, last pair per child wins.
     pairs = (t.filter(F.col("split_to").isNotNull()).groupBy("invoice_id", "split_to")
              .agg(F.min("ord").alias("ord")))
@@ -202,7 +211,7 @@ def apply_splits(g: DataFrame, cfg: JobConfig) -> DataFrame:
                                 out="family")
     t = t.join(roots.select(F.col("id").alias("__rid"), "family"), F.col("invoice_id") == F.col("__rid"), "left").drop("__rid")
     t = joins.lookup(t, "split_to", no_map, "id", "no", out="split_no")
-    t = rows.drop_notes(t, "note", "hóa đơn được tạo mới")
+    t = rows.drop_notes(t, "note", "hóa đơn được tạo mới", unicode=uni)
     t = t.withColumn("__gord", F.col("ord"))
     t = t.withColumn("ord", F.struct(*nulls_last_key("ts", S.last_chars("split_no", 4)), F.col("ord")))
     t = rows.drop_orphan_splits(t, "split_to", "split_no")
@@ -271,11 +280,9 @@ def net_orders(g1: DataFrame, g2: DataFrame, cfg: JobConfig = JobConfig()) -> Da
     u = u.withColumn("qty", S.to_number("qty", 0.0))
     neg_keys = ["invoice_id", "item"]
     pos_keys = ["invoice_no", "item"] if cfg.semantics == "reference" else ["invoice_id", "item"]
-    u = deduct.reverse_deduct(u, "qty", pos_keys, neg_keys, order=["ord"])
+    u = deduct.reverse_deduct(ranged(u, pos_keys), "qty", pos_keys, neg_keys, order=["ord"], bucket=RANGE).drop(RANGE)
     u = u.withColumn("ord", F.struct(*nulls_last_key("invoice_no", "item", "ts"), F.col("ord")))
-    u = stage(u, cfg)
-    occ_keys = ["invoice_id", "item", "qty"]
-    return stage(keys.occurrence(u, occ_keys, order=["ord"], out="occurrence"), cfg)
+    return stage(numbered(u, ["invoice_id", "item", "qty"]), cfg)
 
 
 # X6 ----------------------------------------------------------------------------
