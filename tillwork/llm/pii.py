@@ -291,7 +291,7 @@ n_cg AS (SELECT entity, stem, count(*) AS n_cg FROM near_stem GROUP BY ALL),
 n_g AS (SELECT stem, count(DISTINCT key) AS n_g FROM near_stem GROUP BY stem),
 worst AS (SELECT stem, bool_or(log2(n_cg * total.n / (n_c * n_g)) >= {alpha} * log2(total.n / n_c)) AS told FROM stems JOIN n_cg USING (entity, stem) JOIN n_g USING (stem), total GROUP BY stem),
 listed AS (SELECT DISTINCT term, CASE WHEN length(term) > {STEM + 1} AND NOT told THEN stem || '…' ELSE '{GONE}' END AS mark FROM flagged LEFT JOIN worst USING (stem)),
-runs AS (SELECT key, unnest(regexp_extract_all(text, '\p{{L}}+')) AS v, regexp_split_to_array(text, '\p{{L}}+') AS p, unnest(range(1, len(regexp_extract_all(text, '\p{{L}}+')) + 1)) AS i
+runs AS (SELECT key, unnest(regexp_extract_all(text, '\\p{{L}}+')) AS v, regexp_split_to_array(text, '\\p{{L}}+') AS p, unnest(range(1, len(regexp_extract_all(text, '\\p{{L}}+')) + 1)) AS i
          FROM texts WHERE key IN (SELECT key FROM held JOIN listed USING (term))),
 run_places AS (SELECT key, v, sum(length(p[i]) + length(v)) OVER (PARTITION BY key ORDER BY i ROWS UNBOUNDED PRECEDING) AS stop FROM runs),
 spans AS (
