@@ -83,6 +83,22 @@ def test_near_duplicates(spark, docs, width):
     assert got == brute_components(rows, width, 80)
 
 
+@pytest.mark.parametrize("size, pairs", [(5, 2000), (10, 2000), (50, 2000), (400, 800), (4000, 80)])
+def test_pairs_at_the_threshold_share_enough_bands(size, pairs):
+    """Random pairs of sets at a similarity of 0.8 exactly, from sets far below the number of
+    bins (nearly all bins densified) to sets far above it: no pair is under LEAST_BANDS."""
+    lack = size // 10
+    value = np.random.default_rng(size).integers(0, 1 << 63, (pairs, size), dtype=np.uint64)
+    a, b = (value[:, lack:], np.delete(value, slice(lack, 2 * lack), axis=1)) if lack else (value, value[:, 1:])
+    bands = []
+    for side in (a, b):
+        doc = np.repeat(np.arange(pairs), side.shape[1])
+        sig = minhash.one_permutation(doc, side.ravel(), pairs, minhash.BANDS * minhash.ROWS)
+        bands.append(minhash.band_hashes(sig, minhash.BANDS, minhash.ROWS))
+    shared = (bands[0] == bands[1]).sum(axis=1)
+    assert shared.min() >= minhash.LEAST_BANDS and 12 < shared.mean() < 22
+
+
 def test_near_duplicates_without_ids_and_rows(spark):
     df = frame(spark, [(None, "a b c"), (None, "a b c"), (4, "a b c"), (7, "a b c")])
     got = sorted((r.doc_id is None, r.doc_id or 0, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect())
@@ -135,6 +151,13 @@ def test_substring_dedup(spark, docs, monkeypatch):
 # -- fingerprints
 
 
+def test_each_range_of_ids_is_a_task_of_its_own(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "PART_BYTES", 300)
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 5).alias("text"))
+    rows = fingerprints.in_id_order(df).select("part", F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(rows) > 20 and len({r.part for r in rows}) == len({r.task for r in rows}) == len(rows)
+
+
 def test_fingerprints(spark, docs, monkeypatch):
     monkeypatch.setattr(fingerprints, "PART_BYTES", 4000)  # several ranges of doc_id
     rows, _ = docs

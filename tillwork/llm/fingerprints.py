@@ -103,7 +103,8 @@ def in_id_order(docs: DataFrame) -> DataFrame:
     ghosts = (docs.join(F.broadcast(before), "key").groupBy("target", "key", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
               .select(F.col("target").alias("part"), F.lit(1).alias("ghost"), "key", "doc_id", "text"))
     rows = docs.select("part", F.lit(0).alias("ghost"), "key", "doc_id", "text").union(ghosts)
-    return rows.repartition("part").sortWithinPartitions("part", "ghost", "key", "text").select("part", "ghost", "doc_id", "text")
+    # each part its own task: a hash of part numbers would put several into one
+    return rows.repartitionById(parts, "part").sortWithinPartitions("part", "ghost", "key", "text").select("part", "ghost", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES) -> DataFrame:
