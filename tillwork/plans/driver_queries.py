@@ -1594,8 +1594,10 @@ def q_open_children(spark, sf_dir):
         return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
 
     kids = F.slice(F.array(child(1, ""), child(2, ", 'gift': None")), F.lit(1), (F.col("event_id") % 3).cast("int"))
+    # the text in its own projection: the parser refers to it in several branches
     base = ev.select("event_id", F.col("event_type").alias("item_name"), F.col("value").alias("quantity"),
-                     N.parse_list(F.concat(F.lit("["), F.array_join(kids, ", "), F.lit("]")), "map<string,variant>", style="python").alias("children"))
+                     F.concat(F.lit("["), F.array_join(kids, ", "), F.lit("]")).alias("text"))
+    base = base.withColumn("children", N.parse_list("text", "map<string,variant>", style="python")).drop("text")
     out = overlay_open(explode_keep_parent(base, "children").drop("children"), overwrite=DISPLAY_FIELDS)
     e = F.col("extras")
     return out.select("event_id", "child_pos", "item_name", "quantity", e["note.size"].alias("size"), e["note.ice.level"].alias("ice"),
