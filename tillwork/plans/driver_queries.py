@@ -1587,7 +1587,7 @@ SELECT event_id, i, event_type || '#' || CAST(i AS VARCHAR), CAST(k + i AS DOUBL
 def q_open_children(spark, sf_dir):
     from tillwork.operators.nested import DISPLAY_FIELDS, explode_keep_parent, overlay_open
 
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "event_type", "value", "props"))
     k = F.get_json_object("props", "$.k").cast("int")
 
     def child(i, gift):
