@@ -44,3 +44,18 @@ def test_extract_fields_of_a_compact_file_runs_in_many_tasks(spark, events):
     assert out.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = {r.event_id: (r.k, r.peo_count, r.tran_id) for r in out.collect()}
     assert got == {i: (i % 100, i % 100 if i % 5 < 2 else 0, {0: f"D{i}", 4: f"T{i}"}.get(i % 5, f"E{i}")) for i in range(120)}
+
+
+def test_a_detail_or_page_body_is_stripped_once(spark):
+    from tillwork.sources.invoices import details_from_bodies
+    from tillwork.sources.pages import CHANGE_LOG_ENTRY, entries_from_pages
+
+    bodies = spark.createDataFrame([("S1", "T1", ' {"data": {"sale_detail": [{"item_name": "a"}]}} '), ("S1", "T2", "oops")], "store_uid string, tran_id string, body string")
+    details = details_from_bodies(bodies)
+    assert plan_of(details).count("regexp_replace(") == 1
+    assert [r.sale_detail and [x.item_name for x in r.sale_detail] for r in details.orderBy("tran_id").collect()] == [["a"], None]
+    pages = spark.createDataFrame([("S1", "2024-01-01", i, b) for i, b in enumerate([' [{"tran_id": "a"}]', '{"data": [{"tran_id": "b"}]}\n', '{"data": {"items": [{"tran_id": "c"}]}}', "", "x"])],
+                                  "store_uid string, report_date string, page_no int, body string")
+    entries = entries_from_pages(pages, CHANGE_LOG_ENTRY)
+    assert plan_of(entries).count("regexp_replace(") == 1
+    assert sorted((r.page_no, r.tran_id) for r in entries.collect()) == [(0, "a"), (1, "b"), (2, "c")]
