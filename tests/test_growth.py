@@ -96,3 +96,29 @@ def test_a_gram_of_many_items_is_dealt_over_parts(spark, monkeypatch):
     assert "__part" in plan_of(out)
     text = {r.i: r.price for r in want}
     assert (text[1], text[5], text[150], text[191], text[4]) == (3.0, 7.0, 7.0, None, 1.0)
+
+
+def test_a_stage_is_a_table_of_which_branches_read_their_columns(spark):
+    from tillwork.plans.pipeline import JobConfig, stage
+
+    df = spark.range(20).select(F.struct(F.col("id").alias("a"), F.lit(None).cast("string").alias("b")).alias("ord"), F.lit(" x").alias("note"))
+    kept = stage(df, JobConfig())
+    assert kept.inputFiles() and kept.schema.simpleString() == df.schema.simpleString()
+    assert sorted(kept.collect()) == sorted(df.collect())
+    assert stage(df.where("note = ''"), JobConfig()).count() == 0
+
+
+@pytest.mark.parametrize("large", [1000, 5])
+def test_bills_are_dealt_into_ranges_only_if_one_is_large(spark, monkeypatch, large):
+    from tillwork.operators import scan as module
+    from tillwork.plans.pipeline import numbered
+
+    monkeypatch.setattr(module, "LARGE", large)
+    df = spark.createDataFrame([(i, "hot" if i % 2 else f"b{i % 6}" if i % 10 else None) for i in range(120)], "ord int, bill string").repartition(3)
+    bucket = module.ranged_if_large(df, "bill")[1]
+    assert (bucket is None) == (large == 1000)
+    seen, want = {}, {}
+    for i in range(120):
+        key = "hot" if i % 2 else f"b{i % 6}" if i % 10 else None
+        want[i] = seen[key] = 0 if key is None else seen.get(key, 0) + 1
+    assert {r.ord: r.occurrence for r in numbered(df, ["bill"]).collect()} == want
