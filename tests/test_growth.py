@@ -122,3 +122,21 @@ def test_bills_are_dealt_into_ranges_only_if_one_is_large(spark, monkeypatch, la
         key = "hot" if i % 2 else f"b{i % 6}" if i % 10 else None
         want[i] = seen[key] = 0 if key is None else seen.get(key, 0) + 1
     assert {r.ord: r.occurrence for r in numbered(df, ["bill"]).collect()} == want
+
+
+def test_rows_without_a_key_are_dealt_out_by_a_lookup(spark):
+    from tillwork.operators.joins import lookup
+
+    df = spark.range(1000).select("id", F.when(F.col("id") % 100 == 7, F.concat(F.lit("k"), "id")).alias("to"), F.create_map(F.lit("a"), "id").alias("m"))
+    dim = spark.createDataFrame([("k7", "seven"), ("k107", None), (None, "none"), ("k1", "one")], "id string, no string")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = lookup(df, "to", dim, "id", "no")
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(sizes) == 1000 and max(sizes) < 500
+        assert {(r.id, r.no) for r in out.where("no IS NOT NULL").collect()} == {(7, "seven")}
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
